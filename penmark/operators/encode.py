@@ -97,10 +97,11 @@ def mean_embedding(
     """Mean vector of each text.
 
     One sum per dimension keeps the aggregate hash based with a fixed-width buffer, and
-    the positions of a text collapse before the shuffle.
+    the positions of a text collapse before the shuffle. A text without tokens has the
+    zero vector.
     """
-    rows = df.select(*keys, F.explode("ids").alias("idx"), F.monotonically_increasing_id().alias("_spread"))
-    found = lookup(rows, vectors, "idx", spread_by=[keys[0], "_spread"], **options)
+    rows = df.select(*keys, F.posexplode_outer("ids").alias("at", "idx"))
+    found = lookup(rows, vectors, "idx", spread_by=[keys[0], "at"], **options)
     sums = [F.sum(F.col("vec")[i].cast("double")).alias(f"s{i}") for i in range(dims)]
     totals = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sums)
     mean = [F.coalesce(F.col(f"s{i}"), F.lit(0.0)) / F.col("_n") for i in range(dims)]

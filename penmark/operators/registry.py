@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from penmark.functions import naming
 from penmark.operators.positions import positions
 
-ORDERS: dict[str, list[Column]] = {}
-
 
 def catalogue(files: DataFrame) -> DataFrame:
     """``path, size, modified`` with everything the file name says."""

@@ -38,8 +38,14 @@ def class_name(prediction: Column) -> Column:
     return F.when(prediction == 0, GENERATED_NAME).otherwise(HUMAN_NAME)
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """A number with a fixed count of decimals, rounded by its exact binary value (a
+    printf-style format would round the shortest decimal form instead)."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * digits))
+
+
 def percent(share: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", share * 100)
+    return F.concat(fixed(share * 100, digits), F.lit("%"))
 
 
 def cross_entropy(logits: Column, target: Column) -> Column:

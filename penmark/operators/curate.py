@@ -36,8 +36,8 @@ def add_optional(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def original_id(df: DataFrame) -> Column:
     """The source's own id, or the ingest position where there is none."""
-    position = F.col("pos").cast("string")
-    return F.coalesce(F.col("text_id").cast("string"), position) if "text_id" in df.columns else position
+    known = [F.col(c).cast("string") for c in ("text_id", "pos") if c in df.columns]
+    return F.coalesce(*known)
 
 
 def assign_canonical_id(df: DataFrame, source: str) -> DataFrame:

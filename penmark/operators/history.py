@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# The step schedule and the start rate.
+from penmark.functions.scoring import fixed, percent
+
+# The report line, the start rate and its step schedule.
+REPORT_LINE = "Epoch [%d/%d] | Loss: %s | Train Acc: %s | Val Acc: %s"
 LEARNING_RATE = 1e-4
 STEP_EPOCHS = 3
 STEP_FACTOR = 0.5
@@ -34,7 +37,7 @@ def report(history: DataFrame) -> DataFrame:
     """One line per epoch: loss with four decimals, accuracies in percent with two."""
     epochs = F.max("epoch").over(Window.partitionBy("run")) + 1
     line = F.format_string(
-        "Epoch [%d/%d] | Loss: %.4f | Train Acc: %.2f%% | Val Acc: %.2f%%",
-        F.col("epoch") + 1, epochs, F.col("loss"), F.col("train_acc") * 100, F.col("val_acc") * 100,
+        REPORT_LINE, F.col("epoch") + 1, epochs, fixed(F.col("loss"), 4),
+        percent(F.col("train_acc"), 2), percent(F.col("val_acc"), 2),
     )
     return history.withColumn("line", line)

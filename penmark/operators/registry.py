@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from penmark.functions import naming
+from penmark.functions.scoring import fixed
 from penmark.operators.positions import positions
 
 
@@ -50,7 +51,7 @@ def mark_current(models: DataFrame, current: str) -> DataFrame:
 def listing(models: DataFrame) -> DataFrame:
     """The summary line and the menu entry of each model."""
     size = F.col("size_mb").cast("string")
-    shown = F.format_string("%.1f%%", F.col("accuracy"))
+    shown = F.concat(fixed(F.col("accuracy"), 1), F.lit("%"))
     known = F.concat(
         F.col("name"), F.lit(" ("), size, F.lit(" MB) - "), F.col("model_type"), F.lit(" "),
         shown, F.lit(" ("), F.col("formatted_time"), F.lit(")"),

@@ -128,20 +128,20 @@ _TURN_IDS = f"""
     , served AS (SELECT text_id, {words('text')} AS tokens FROM turns),
     enc AS ({encoded('served', 'vocab5', 'text_id')}),
     vecs AS (SELECT vec_id + 1 AS idx, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
-    at AS (SELECT text_id, unnest(ids) AS idx, generate_subscripts(ids, 1) - 1 AS at FROM enc)"""
+    placed AS (SELECT text_id, unnest(ids) AS idx, generate_subscripts(ids, 1) - 1 AS place FROM enc)"""
 
 
 @query("embedding_lookup", with_views("", "turns", "vocab5").rstrip() + _TURN_IDS + f"""
-    SELECT text_id, at.at, at.idx, {sql_rounded('coalesce(vec[1], 0)')} AS first_dim,
-           {sql_rounded('coalesce(list_sum(vec), 0)')} AS total FROM at LEFT JOIN vecs USING (idx)""")
+    SELECT text_id, place, idx, {sql_rounded('coalesce(vec[1], 0)')} AS first_dim,
+           {sql_rounded('coalesce(list_sum(vec), 0)')} AS total FROM placed LEFT JOIN vecs USING (idx)""")
 def embedding_lookup(spark, sf_dir):
     found = e.embed(turn_ids(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id"], DIMS)
     total = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x)
-    return found.select("text_id", "at", "idx", rounded(F.col("vec")[0]).alias("first_dim"), rounded(total).alias("total"))
+    return found.select("text_id", F.col("at").alias("place"), "idx", rounded(F.col("vec")[0]).alias("first_dim"), rounded(total).alias("total"))
 
 
 MEANS = f"""
-    , sums AS (SELECT text_id, d, sum(coalesce(vec[d], 0)) / count(*) AS mean FROM at LEFT JOIN vecs USING (idx)
+    , sums AS (SELECT text_id, d, sum(coalesce(vec[d], 0)) / count(*) AS mean FROM placed LEFT JOIN vecs USING (idx)
                CROSS JOIN (SELECT unnest(range(1, 65)) AS d) GROUP BY text_id, d)"""
 
 

@@ -114,9 +114,9 @@ def posts_time_range(spark, sf_dir):
 
 
 @query("generated_records", """
-    SELECT doc_id, 'gen_' || (at - 1) AS text_id, text, 1 AS label, 'prompt_' || (at - 1) AS prompt_name,
+    SELECT doc_id, 'gen_' || (k - 1) AS text_id, text, 1 AS label, 'prompt_' || (k - 1) AS prompt_name,
            'gpt-4o-mini' AS model, 0.7::DOUBLE AS temperature
-    FROM (SELECT doc_id, unnest(lines) AS text, generate_subscripts(lines, 1) AS at
+    FROM (SELECT doc_id, unnest(lines) AS text, generate_subscripts(lines, 1) AS k
           FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))""")
 def generated_records(spark, sf_dir):
     """Each document is a run of the generator, each line one of its texts."""

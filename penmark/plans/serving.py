@@ -31,7 +31,7 @@ _SCORED_ROWS = f"""
                FROM batch_rows WHERE length({strip('text')}) > 0),
     enc AS ({encoded('good', 'vocab5', 'text_id')}),
     vecs AS (SELECT vec_id + 1 AS idx, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
-    at AS (SELECT text_id, unnest(ids) AS idx FROM enc)
+    placed AS (SELECT text_id, unnest(ids) AS idx FROM enc)
     {MEANS},
     z AS (SELECT text_id, sum(mean * ({SQL_WEIGHTS[0]})[d]) + 0.05::DOUBLE AS z0,
                  sum(mean * ({SQL_WEIGHTS[1]})[d]) - 0.05::DOUBLE AS z1 FROM sums GROUP BY text_id)
@@ -70,7 +70,7 @@ def stream_curate(spark, sf_dir):
     twice = feed().union(feed())
     posts = v.posts_of(twice, v.documents(spark, sf_dir))
     out = fresh_dir(spark, "stream-posts")
-    curated = curate_stream(posts.drop("pos"))
+    curated = curate_stream(posts).drop("pos")
     stream = (
         curated.writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", fresh_dir(spark, "curate-stream"))

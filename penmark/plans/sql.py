@@ -63,8 +63,8 @@ def encoded(source: str, vocab: str, keys: str) -> str:
     """``keys, ids`` of a table with ``text_id, tokens``."""
     return f"""
         SELECT {keys}, coalesce(e.ids, []) AS ids FROM {source} LEFT JOIN (
-            SELECT x.text_id, list(CAST(coalesce(v.idx + 1, 0) AS INTEGER) ORDER BY x.at) AS ids
-            FROM (SELECT text_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS at FROM {source}) x
+            SELECT x.text_id, list(CAST(coalesce(v.idx + 1, 0) AS INTEGER) ORDER BY x.k) AS ids
+            FROM (SELECT text_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS k FROM {source}) x
             LEFT JOIN {vocab} v USING (word) GROUP BY x.text_id) e USING (text_id)"""
 
 

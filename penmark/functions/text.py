@@ -11,6 +11,10 @@ from pyspark.sql import Column, functions as F
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 NOT_WS = r"[^\s\x1c-\x1f\x85\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Code points with the Unicode Emoji property, without the ASCII
 # digits, '#', '*' (emoji only inside a keycap) and the regional indicators
@@ -58,8 +62,13 @@ _EMOJI_FAST = rf"{_KEYCAP}|(?={EMOJI_HINT})(?:{_FLAG}|{_SEQUENCE})"
 
 
 def strip_ws(text: Column) -> Column:
-    """Drop Unicode whitespace at both ends."""
-    return F.regexp_replace(text, rf"^{WS}+|{WS}+$", "")
+    """Drop Unicode whitespace at both ends. A plain trim: it looks at the ends only."""
+    return F.btrim(text, F.lit(WS_CHARS))
+
+
+def is_blank(text: Column) -> Column:
+    """No character but whitespace; stops at the first other one."""
+    return ~text.rlike(NOT_WS)
 
 
 def remove_urls(text: Column) -> Column:
@@ -82,10 +91,9 @@ def remove_emojis(text: Column) -> Column:
 def strip_spaces(text: Column) -> Column:
     """Trim, and make every run of whitespace one space.
 
-    Runs become a space first, so the trim only has spaces left to look at. A lone
-    space is already right and is not matched, which spares one edit per word.
+    Runs become a space first, so the trim only has spaces left to look at.
     """
-    return F.trim(F.regexp_replace(text, rf"{WS}{{2,}}|[{WS}&&[^ ]]", " "))
+    return F.trim(F.regexp_replace(text, rf"{WS}+", " "))
 
 
 def to_lower(text: Column) -> Column:

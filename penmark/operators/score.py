@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from penmark.functions import scoring as sc
-from penmark.functions.text import strip_ws
+from penmark.functions.text import is_blank, strip_ws
 
 # The error messages of the two request forms.
 NO_TEXT = "No text provided"
@@ -61,13 +61,13 @@ def explode_batch(df: DataFrame, body: str, keys: list[str]) -> DataFrame:
     """
     good = df.where(batch_error(F.col(body)).isNull())
     rows = good.select(*keys, F.posexplode(batch_texts(F.col(body))).alias("index", "text"))
-    blank = F.coalesce(strip_ws(F.col("text")) == "", F.lit(True))
+    blank = F.coalesce(is_blank(F.col("text")), F.lit(True))
     return rows.withColumn("error", F.when(blank, EMPTY_TEXT))
 
 
 def split_block(df: DataFrame, block: str, keys: list[str]) -> DataFrame:
     """One row per non-blank line of a text block; a kept line is not trimmed."""
-    lines = F.filter(F.split(strip_ws(F.col(block)), "\n"), lambda x: strip_ws(x) != "")
+    lines = F.filter(F.split(strip_ws(F.col(block)), "\n"), lambda x: ~is_blank(x))
     return df.select(*keys, F.posexplode(lines).alias("index", "text"))
 
 

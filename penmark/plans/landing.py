@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from penmark import schemas
-from penmark.functions import naming, tokens as tk
+from penmark.functions import naming
+from penmark.functions.text import is_blank
 from penmark.operators import curate as c
 from penmark.operators.clean import clean_corpus
-from penmark.operators.score import as_json, decide, explode_batch, split_block
+from penmark.operators.score import decide, explode_batch, split_block
 from penmark.plans import views as v
-from penmark.plans.registry import query, rounded, shown, shown_time
-from penmark.plans.sql import alpha, cleaned, strip, with_views, words
+from penmark.plans.registry import query, shown_time
+from penmark.plans.sql import cleaned, strip, with_views
 from penmark.session import fresh_dir
 from penmark.sources import posts as p, readers as r, sinks as k
 
@@ -76,7 +77,7 @@ def src_records(spark, sf_dir):
 
 def _landed(spark, sf_dir):
     """Posts by the users of events, with their original ids."""
-    return v.raw_posts(spark, sf_dir).where(p.has_text(F.col("text")))
+    return v.raw_posts(spark, sf_dir).where(~is_blank(F.col("text")))
 
 
 _RECORD = "text_id, text, user_id, 0 AS label, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at"

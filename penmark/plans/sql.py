@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from penmark.functions.text import EMOJI
+from penmark.functions.text import EMOJI, WS_CHARS
 
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 NOT_WS = r"[^\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
@@ -14,7 +14,7 @@ def gone(text: str, pattern: str, to: str = "") -> str:
 
 
 def strip(text: str) -> str:
-    return gone(text, f"^{WS}+|{WS}+$")
+    return f"trim({text}, '{WS_CHARS}')"
 
 
 def urls(text: str) -> str:
@@ -77,7 +77,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE e.event_type WHEN 'error' THEN chr(160) || '  '
                                  WHEN 'view' THEN chr(8195) || ' ' || d.text || chr(10) ELSE d.text END AS text,
                e.user_id, CASE WHEN e.event_type <> 'click' THEN 0 END AS label, e.ts AS created_at
-        FROM events e JOIN documents d ON e.event_id % (SELECT count(*) FROM documents) = d.doc_id"""),
+        FROM (SELECT *, event_id % (SELECT count(*) FROM documents) AS doc_id FROM events) e
+        JOIN documents d USING (doc_id)"""),
     "raw_generated": ((), f"""
         SELECT {_TURN} AS pos, conv_id || ':' || turn AS text_id, text, CASE WHEN turn <> 1 THEN 1 END AS label
         FROM conversations WHERE role = 'assistant'"""),

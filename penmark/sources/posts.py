@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from penmark.functions.text import strip_ws
 from penmark.operators.curate import GENERATED, HUMAN
 
 # How a record names its source.
@@ -63,7 +62,3 @@ def generated_records(
         F.lit(model).alias("model"),
         F.lit(temperature).alias("temperature"),
     )
-
-
-def has_text(text: Column) -> Column:
-    return F.length(strip_ws(text)) > 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame
 
 # The run stamp and the file types a cleaned table may have.
 RUN_STAMP = "%Y%m%dT%H%M%SZ"
@@ -24,12 +24,13 @@ def run_stamp(at: datetime | None = None) -> str:
 def write_curated(df: DataFrame, root: str, kind: str, stamp: str | None = None) -> tuple[str, int]:
     """Write one run of a curated table; returns its path and row count.
 
-    The rows are counted while they are written.
+    The count comes from the footers of the files written: no column is read, and it is
+    what is really there. (An Observation would count on the way, but once a session has
+    one, Spark 4.1 can no longer ship a fitted logistic regression to its tasks.)
     """
     path = f"{root}/curated/{kind}/run={stamp or run_stamp()}"
-    seen = Observation(f"curated_{kind}")
-    df.observe(seen, F.count(F.lit(1)).alias("records")).write.parquet(path)
-    return path, seen.get["records"]
+    df.write.parquet(path)
+    return path, df.sparkSession.read.parquet(path).count()
 
 
 def append_csv(df: DataFrame, path: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The name pattern {type}_{accuracy}_{date}_{time}.pt, its time formats,
 # what an unreadable name reports, and the known network types.
@@ -25,26 +25,33 @@ def size_mb(size: Column) -> Column:
     return F.bround(size / F.lit(float(MEGABYTE)), 2)
 
 
-def parse_model_name(name: Column) -> dict[str, Column]:
-    """Columns read off a model file name.
+def parse_model_name(df: DataFrame, name: str = "name") -> DataFrame:
+    """Add what a model file name says: type, accuracy, time, and whether it could be read.
 
     A name of the right shape with an impossible date still counts as parsed: only its
-    timestamp is null.
+    timestamp is null. The pattern runs once per name; the parts of a name that fits it
+    are between its underscores.
     """
-    parsed = name.rlike(MODEL_NAME)
-    part = lambda i: F.regexp_extract(name, MODEL_NAME, i)
-    shown = F.concat(part(3), F.lit(" "), F.replace(part(4), F.lit("-"), F.lit(":")))
-    stamp = F.try_to_timestamp(shown, F.lit(SHOWN_TIME)).cast("timestamp_ntz")
-    raw = F.concat(part(3), F.lit(" "), part(4))
-    return {
-        "model_type": F.when(parsed, F.upper(part(1))).otherwise(UNKNOWN_TYPE),
-        "accuracy": F.when(parsed, part(2).cast("double")).otherwise(F.lit(0.0)),
-        "timestamp": F.when(parsed, stamp),
-        "formatted_time": F.when(
-            parsed, F.when(stamp.isNotNull(), shown).otherwise(raw)
-        ).otherwise(UNKNOWN_TIME),
-        "parsed": parsed,
-    }
+    parts = F.when(F.col(name).rlike(MODEL_NAME), F.split(F.col(name), "_"))
+    read = df.withColumn("_part", parts)
+    part = lambda i: F.element_at("_part", i)
+    clock = F.regexp_replace(part(4), r"\.pt$", "")
+    timed = read.withColumn("_clock", clock).withColumn(
+        "timestamp",
+        F.try_to_timestamp(F.concat_ws("_", part(3), "_clock"), F.lit(NAME_TIME)).cast("timestamp_ntz"),
+    )
+    parsed = F.col("_part").isNotNull()
+    shown = F.coalesce(
+        F.date_format("timestamp", SHOWN_TIME), F.concat(part(3), F.lit(" "), F.col("_clock"))
+    )
+    return timed.withColumns(
+        {
+            "model_type": F.coalesce(F.upper(part(1)), F.lit(UNKNOWN_TYPE)),
+            "accuracy": F.coalesce(part(2).cast("double"), F.lit(0.0)),
+            "formatted_time": F.coalesce(shown, F.lit(UNKNOWN_TIME)),
+            "parsed": parsed,
+        }
+    ).drop("_part", "_clock")
 
 
 def checkpoint_name(kind: Column, accuracy: Column, saved_at: Column) -> Column:
@@ -54,9 +61,8 @@ def checkpoint_name(kind: Column, accuracy: Column, saved_at: Column) -> Column:
     return F.concat(stem, F.lit(".pt"))
 
 
-def resolve_type(name: Column, given: Column) -> Column:
+def resolve_type(model_type: Column, parsed: Column, given: Column) -> Column:
     """The network type to load: as given, else from the name, else the default."""
-    info = parse_model_name(name)
-    from_name = F.when(info["parsed"], F.lower(info["model_type"]))
+    from_name = F.when(parsed, F.lower(model_type))
     wanted = F.lower(F.coalesce(given, from_name, F.lit(DEFAULT_TYPE)))
     return F.when(wanted.isin(*NETWORK_TYPES), wanted).otherwise(DEFAULT_TYPE)

@@ -19,9 +19,11 @@ TARGET = "human_wrote"
 MAX_VECTOR_CELLS = 2**31 - 1
 
 
-def word2vec(dims: int, min_count: int, epochs: int, seed: int = SEED) -> Word2Vec:
+def word2vec(dims: int, min_count: int, epochs: int, seed: int = SEED, parts: int = 8) -> Word2Vec:
+    """``parts`` tasks train side by side and their vectors are averaged; raise it, and
+    the epochs with it, for a large corpus (Spark's default is a single task)."""
     return Word2Vec(
-        vectorSize=dims, minCount=min_count, maxIter=epochs, seed=seed,
+        vectorSize=dims, minCount=min_count, maxIter=epochs, seed=seed, numPartitions=parts,
         inputCol="tokens", outputCol="features",
     )
 

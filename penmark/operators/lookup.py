@@ -38,10 +38,10 @@ def lookup(
     the rows, so their part of the table is broadcast whatever the data, and their rows
     are spread over salts (from ``spread_by``) instead of meeting in one task.
     """
+    values = [c for c in table.columns if c != key]
     if measured_bytes(table) <= broadcast_bytes:
-        return rows.join(F.broadcast(table), key, "left")
+        return rows.join(F.broadcast(table), key, "left").select(*rows.columns, *values)
 
-    values = [c for c in table.columns if c != key]
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     limit = counts.agg(F.sum("_n") / HOT_PARTS).scalar()
     hot_keys = counts.where(F.col("_n") > limit).select(key)

@@ -12,9 +12,7 @@ from penmark.operators.positions import positions
 def catalogue(files: DataFrame) -> DataFrame:
     """``path, size, modified`` with everything the file name says."""
     named = files.withColumn("name", naming.base_name(F.col("path")))
-    return named.withColumns(
-        {"size_mb": naming.size_mb(F.col("size")), **naming.parse_model_name(F.col("name"))}
-    )
+    return naming.parse_model_name(named.withColumn("size_mb", naming.size_mb(F.col("size"))))
 
 
 def best_first() -> list[Column]:

@@ -58,7 +58,8 @@ def resolve_model_type(spark, sf_dir):
     files = v.model_files(spark, sf_dir)
     given = F.expr("CASE size % 3 WHEN 0 THEN 'LSTM' WHEN 1 THEN 'other' END")
     named = files.select("path", naming.base_name(F.col("path")).alias("name"), given.alias("given"))
-    return named.select("path", "given", naming.resolve_type(F.col("name"), F.col("given")).alias("resolved_type"))
+    resolved = naming.resolve_type(F.col("model_type"), F.col("parsed"), F.col("given"))
+    return naming.parse_model_name(named).select("path", "given", resolved.alias("resolved_type"))
 
 
 CURRENT = "(SELECT path FROM models ORDER BY accuracy DESC, timestamp DESC NULLS LAST, path LIMIT 1)"
@@ -121,9 +122,9 @@ def checkpoint_name(spark, sf_dir):
 
 
 @query("epoch_loss", with_views(
-    f"SELECT run, epoch, {sql_rounded('avg(batch_loss)')} AS loss FROM batch_losses GROUP BY run, epoch", "batch_losses"))
+    f"SELECT run, epoch, {sql_rounded('avg(batch_loss)', 9)} AS loss FROM batch_losses GROUP BY run, epoch", "batch_losses"))
 def epoch_loss(spark, sf_dir):
-    return h.epoch_loss(v.batch_losses(spark, sf_dir)).withColumn("loss", rounded(F.col("loss")))
+    return h.epoch_loss(v.batch_losses(spark, sf_dir)).withColumn("loss", rounded(F.col("loss"), 9))
 
 
 @query("best_checkpoints", with_views(f"""

@@ -172,8 +172,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT event_type AS run, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS epoch,
                value AS batch_loss, ts AS saved_at FROM events"""),
     "history": (("batch_losses",), """
-        SELECT run, epoch, avg(batch_loss) AS loss, avg(sqrt(batch_loss)) / 20 AS train_acc,
-               avg(batch_loss) / 100 AS val_acc, max(saved_at) AS saved_at FROM batch_losses GROUP BY run, epoch"""),
+        SELECT run, epoch, cents / (n * 100)::DOUBLE AS loss, cents / (n * 100)::DOUBLE / 100 AS val_acc, train_acc, saved_at
+        FROM (SELECT run, epoch, CAST(sum(CAST(round(batch_loss * 100) AS BIGINT)) AS DOUBLE) AS cents, count(*) AS n,
+                     avg(sqrt(batch_loss)) / 20 AS train_acc, max(saved_at) AS saved_at
+              FROM batch_losses GROUP BY run, epoch)"""),
 }
 
 

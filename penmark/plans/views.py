@@ -9,14 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from penmark.functions import tokens as tk
-from penmark.operators.positions import chunk_of
+from penmark.session import spread
 
 TURN_BITS = 24  # a conversation's turns take the low bits of its positions
 CHUNK_OF_TURNS = TURN_BITS + 12
 
 
+KEYS = {"documents": "doc_id", "events": "event_id", "conversations": "conv_id", "embeddings": "vec_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, KEYS[name]) if name in KEYS else rows
 
 
 def documents(spark, sf_dir):
@@ -181,15 +185,14 @@ def batch_losses(spark, sf_dir):
 
 
 def history(spark, sf_dir):
+    """Losses have two decimals, so they are summed as whole cents: reports with few
+    decimals must not depend on the order of a floating-point sum."""
     loss = F.col("batch_loss")
+    cents = F.sum(F.round(loss * 100).cast("bigint")).cast("double")
+    mean = cents / (F.count(loss) * 100)
     return batch_losses(spark, sf_dir).groupBy("run", "epoch").agg(
-        F.avg(loss).alias("loss"),
+        mean.alias("loss"),
         (F.avg(F.sqrt(loss)) / 20).alias("train_acc"),
-        (F.avg(loss) / 100).alias("val_acc"),
+        (mean / 100).alias("val_acc"),
         F.max("saved_at").alias("saved_at"),
     )
-
-
-def placed_conversations(df: DataFrame) -> DataFrame:
-    """Source place of rows whose ``pos`` is a turn position."""
-    return df.withColumn("src_chunk", chunk_of(F.col("pos"), CHUNK_OF_TURNS))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from penmark.functions.rows import one_per_item
 from penmark.functions.text import characters, clean_text, drop_characters
 from penmark.operators.curate import GENERATED, HUMAN
 from penmark.operators.dedup import keep_first
@@ -18,15 +19,19 @@ def known_classes(df: DataFrame) -> DataFrame:
     return df.where(F.col("label").isin(HUMAN, GENERATED))
 
 
+def _characters(df: DataFrame) -> DataFrame:
+    """Label and character, once per text; an empty text has none."""
+    return one_per_item(df, ["label"], characters(F.col("text")), "ch").where("ch <> ''")
+
+
 def class_charset(df: DataFrame) -> DataFrame:
     """The distinct characters of each class. Bounded by the size of Unicode."""
-    return df.select("label", F.explode(characters(F.col("text"))).alias("ch")).distinct()
+    return _characters(df).distinct()
 
 
 def generated_only_chars(df: DataFrame) -> DataFrame:
     """Characters seen in generated texts and in no human text, in one aggregation."""
-    seen = df.select("label", F.explode(characters(F.col("text"))).alias("ch"))
-    by_char = seen.groupBy("ch").agg(
+    by_char = _characters(df).groupBy("ch").agg(
         F.max(F.col("label") == HUMAN).alias("in_human"),
         F.max(F.col("label") == GENERATED).alias("in_generated"),
     )

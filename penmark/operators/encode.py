@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from penmark.functions import tokens as tk
+from penmark.functions.rows import one_per_item
 from penmark.operators.lookup import BROADCAST_BYTES, lookup
 from penmark.operators.positions import batches, positions
 
@@ -17,7 +18,7 @@ def token_targets(df: DataFrame) -> DataFrame:
 def build_vocab(df: DataFrame, tokens: str = "tokens", min_count: int = 1) -> DataFrame:
     """``word, n, idx``: index 0.. by falling frequency, then by word."""
     counts = (
-        df.select(F.explode(tokens).alias("word"))
+        one_per_item(df, [], tokens, "word")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_count)
@@ -85,7 +86,7 @@ def embed(df: DataFrame, vectors: DataFrame, keys: list[str], dims: int, **optio
 
     ``vectors`` holds ``idx`` (already shifted past the padding slot) and ``vec``.
     """
-    rows = df.select(*keys, F.posexplode("ids").alias("at", "idx"))
+    rows = one_per_item(df, keys, "ids", "idx", "at")
     found = lookup(rows, vectors, "idx", spread_by=[keys[0], "at"], **options)
     zero = F.array_repeat(F.lit(0.0), dims)
     return found.withColumn("vec", F.coalesce(F.col("vec").cast("array<double>"), zero))

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from penmark.functions.ids import SEED
+from penmark.functions.rows import one_per_item
 from penmark.functions.scoring import argmax, class_name
 from penmark.operators.history import best_checkpoints
 from penmark.operators.score import accuracy
@@ -32,7 +33,7 @@ def train_word_vectors(
     df: DataFrame, dims: int = 32, min_count: int = 5, epochs: int = 1, seed: int = SEED
 ) -> Word2VecModel:
     """Word vectors of a token table; refuses a vocabulary Spark ML cannot hold."""
-    words = df.select(F.explode("tokens").alias("word")).groupBy("word").count()
+    words = one_per_item(df, [], "tokens", "word").groupBy("word").count()
     kept = words.where(F.col("count") >= min_count).count()
     if kept * dims > MAX_VECTOR_CELLS:
         raise ValueError(f"{kept} words of {dims} dimensions are too many: raise min_count")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from penmark.functions import scoring as sc
+from penmark.functions.rows import one_per_item
 from penmark.functions.text import is_blank, strip_ws
 
 # The error messages of the two request forms.
@@ -60,7 +61,7 @@ def explode_batch(df: DataFrame, body: str, keys: list[str]) -> DataFrame:
     A blank text is refused on its own row (``error``); its neighbours go on.
     """
     good = df.where(batch_error(F.col(body)).isNull())
-    rows = good.select(*keys, F.posexplode(batch_texts(F.col(body))).alias("index", "text"))
+    rows = one_per_item(good, keys, batch_texts(F.col(body)), "text", "index")
     blank = F.coalesce(is_blank(F.col("text")), F.lit(True))
     return rows.withColumn("error", F.when(blank, EMPTY_TEXT))
 
@@ -68,7 +69,7 @@ def explode_batch(df: DataFrame, body: str, keys: list[str]) -> DataFrame:
 def split_block(df: DataFrame, block: str, keys: list[str]) -> DataFrame:
     """One row per non-blank line of a text block; a kept line is not trimmed."""
     lines = F.filter(F.split(strip_ws(F.col(block)), "\n"), lambda x: ~is_blank(x))
-    return df.select(*keys, F.posexplode(lines).alias("index", "text"))
+    return one_per_item(df, keys, lines, "text", "index")
 
 
 def decide(df: DataFrame, z0: str = "z0", z1: str = "z1") -> DataFrame:
@@ -102,6 +103,6 @@ def accuracy(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def as_json(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Each row as one JSON document."""
-    return df.select(F.to_json(F.struct(*fields)).alias("json"))
+def as_json(df: DataFrame, fields: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Each row as one JSON document of the given fields."""
+    return df.select(*(keys or []), F.to_json(F.struct(*fields)).alias("json"))

@@ -157,5 +157,18 @@ PREPARED = f"""
 
 @query("prepare_data", with_views("", "main").rstrip() + PREPARED)
 def prepare_data(spark, sf_dir):
-    """Curate, merge and clean in one plan: from raw records to the table to train on."""
-    return clean_corpus(c.merge_main(main_sources(spark, sf_dir))).select("text_id", "label", "text")
+    """Curate, merge and clean: from raw records to the table to train on.
+
+    The curated and the main table are written, as each is used more than once.
+    """
+    root = fresh_dir(spark, "prepare")
+    posts, _ = k.write_curated(c.curate_posts(v.raw_posts(spark, sf_dir)), root, "posts")
+    made, _ = k.write_curated(c.curate_generated(v.raw_generated(spark, sf_dir)), root, "generated")
+    sources = [
+        c.placed(r.read_curated(spark, posts)),
+        c.placed(r.read_curated(spark, made), v.CHUNK_OF_TURNS),
+        c.placed(v.human_corpus(spark, sf_dir), v.CHUNK_OF_TURNS),
+        c.placed(v.labelled_corpus(spark, sf_dir)),
+    ]
+    main, _ = k.write_curated(c.merge_main(sources), root, "main")
+    return clean_corpus(spark.read.parquet(main).drop("run")).select("text_id", "label", "text")

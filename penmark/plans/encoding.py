@@ -25,7 +25,7 @@ def encoded_tokens(spark, sf_dir):
 
 
 @query("parse_token_list", with_views(
-    "SELECT text_id, array_to_string(tokens, ' ') AS tokens, len(tokens) AS n FROM tokens", "tokens"))
+    "SELECT text_id, array_to_string(tokens, ' ') AS tokens, CAST(len(tokens) AS INTEGER) AS n FROM tokens", "tokens"))
 def parse_token_list(spark, sf_dir):
     parsed = tk.parse_list_literal(F.col("text"))
     rows = v.list_literals(spark, sf_dir).select("text_id", parsed.alias("tokens"))
@@ -33,7 +33,7 @@ def parse_token_list(spark, sf_dir):
 
 
 @query("tokenize_ws", with_views(f"""
-    SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t) AS n
+    SELECT doc_id, array_to_string(t, ' ') AS tokens, CAST(len(t) AS INTEGER) AS n
     FROM (SELECT doc_id, {words('text')} AS t FROM tweety WHERE text IS NOT NULL)""", "tweety"))
 def tokenize_ws(spark, sf_dir):
     rows = v.tweety(spark, sf_dir).where("text IS NOT NULL").select("doc_id", tk.tokenize(F.col("text")).alias("t"))
@@ -41,7 +41,7 @@ def tokenize_ws(spark, sf_dir):
 
 
 @query("alpha_tokens", with_views(
-    "SELECT text_id, array_to_string(tokens, ' ') AS tokens, len(tokens) AS n FROM tokens", "tokens"))
+    "SELECT text_id, array_to_string(tokens, ' ') AS tokens, CAST(len(tokens) AS INTEGER) AS n FROM tokens", "tokens"))
 def alpha_tokens(spark, sf_dir):
     rows = v.tokens(spark, sf_dir)
     return rows.select("text_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").alias("n"))
@@ -96,7 +96,7 @@ def encode_fixed(spark, sf_dir):
 
 
 @query("encoded_lengths", with_views("""
-    SELECT label, count(*) AS samples, CAST(sum(len(ids)) AS BIGINT) AS tokens, max(len(ids)) AS longest
+    SELECT label, count(*) AS samples, CAST(sum(len(ids)) AS BIGINT) AS tokens, CAST(max(len(ids)) AS INTEGER) AS longest
     FROM encoded GROUP BY label""", "encoded"))
 def encoded_lengths(spark, sf_dir):
     return encoded_tokens(spark, sf_dir).groupBy("label").agg(
@@ -105,7 +105,7 @@ def encoded_lengths(spark, sf_dir):
 
 
 @query("pad_batch", with_views("""
-    SELECT text_id, batch_id, longest, md5(array_to_string(list_concat(ids, list_transform(range(longest - len(ids)), lambda i: 0)), ',')) AS padded
+    SELECT text_id, batch_id, CAST(longest AS INTEGER) AS longest, md5(array_to_string(list_concat(ids, list_transform(range(longest - len(ids)), lambda i: 0)), ',')) AS padded
     FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS longest FROM (
         SELECT *, (row_number() OVER (ORDER BY text_id) - 1) // 314 AS batch_id FROM encoded))""", "encoded"))
 def pad_batch(spark, sf_dir):
@@ -132,7 +132,7 @@ _TURN_IDS = f"""
 
 
 @query("embedding_lookup", with_views("", "turns", "vocab5").rstrip() + _TURN_IDS + f"""
-    SELECT text_id, place, idx, {sql_rounded('coalesce(vec[1], 0)')} AS first_dim,
+    SELECT text_id, CAST(place AS INTEGER) AS place, idx, {sql_rounded('coalesce(vec[1], 0)')} AS first_dim,
            {sql_rounded('coalesce(list_sum(vec), 0)')} AS total FROM placed LEFT JOIN vecs USING (idx)""")
 def embedding_lookup(spark, sf_dir):
     found = e.embed(turn_ids(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id"], DIMS)

@@ -9,7 +9,7 @@ from penmark.functions import naming
 from penmark.functions.text import is_blank
 from penmark.operators import curate as c
 from penmark.operators.clean import clean_corpus
-from penmark.operators.score import decide, explode_batch, split_block
+from penmark.operators.score import explode_batch, split_block
 from penmark.plans import views as v
 from penmark.plans.registry import query, shown_time
 from penmark.plans.sql import cleaned, strip, with_views
@@ -50,7 +50,7 @@ def src_curated_parquet(spark, sf_dir):
 
 @query("src_token_csv", with_views(f"""
     SELECT '[' || array_to_string(list_transform(tokens, lambda w: '''' || w || ''''), ', ') || ']' AS text,
-           1 - label AS human_wrote, len(tokens) AS n_tokens FROM tokens""", "tokens"))
+           1 - label AS human_wrote, CAST(len(tokens) AS INTEGER) AS n_tokens FROM tokens""", "tokens"))
 def src_token_csv(spark, sf_dir):
     rows = v.list_literals(spark, sf_dir).select(F.col("text_id").alias("_c0"), "text", "human_wrote")
     path = k.append_csv(rows, fresh_dir(spark, "token-csv"))
@@ -204,14 +204,3 @@ def curate_counts(spark, sf_dir):
     return c.stage_counts({
         "raw": raw, "curated": c.curate_posts(raw), "generated": c.curate_generated(v.raw_generated(spark, sf_dir)),
     })
-
-
-@query("scored_json", with_views(f"""
-    SELECT vec_id, CAST(json_object('index', vec_id, 'prediction', CASE WHEN z1 > z0 THEN 1 ELSE 0 END, 'label',
-        CASE WHEN z1 > z0 THEN 'Human-Written' ELSE 'AI-Generated' END) AS VARCHAR) AS json FROM logits""", "logits"))
-def scored_json(spark, sf_dir):
-    """The confidence is left out here: engines print doubles differently."""
-    scored = decide(v.logits(spark, sf_dir)).withColumn("index", F.col("vec_id"))
-    return scored.select(
-        "vec_id", F.to_json(F.struct("index", "prediction", "label")).alias("json")
-    )

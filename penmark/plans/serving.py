@@ -26,18 +26,36 @@ def linear_text_scorer(vocab, vectors, keys):
     return run
 
 
-_SCORED_ROWS = f"""
-    , good AS (SELECT request_id * 100000 + index AS text_id, request_id, index, {words('text')} AS tokens
-               FROM batch_rows WHERE length({strip('text')}) > 0),
-    enc AS ({encoded('good', 'vocab5', 'text_id')}),
+_LINEAR = f"""
     vecs AS (SELECT vec_id + 1 AS idx, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
     placed AS (SELECT text_id, unnest(ids) AS idx FROM enc)
     {MEANS},
     z AS (SELECT text_id, sum(mean * ({SQL_WEIGHTS[0]})[d]) + 0.05::DOUBLE AS z0,
-                 sum(mean * ({SQL_WEIGHTS[1]})[d]) - 0.05::DOUBLE AS z1 FROM sums GROUP BY text_id)
-    SELECT request_id, index, CASE WHEN z1 > z0 THEN 1 ELSE 0 END AS prediction,
-        CASE WHEN z1 > z0 THEN 'Human-Written' ELSE 'AI-Generated' END AS label,
-        {sql_rounded('1 / (exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z0, z1)))')} AS confidence
+                 sum(mean * ({SQL_WEIGHTS[1]})[d]) - 0.05::DOUBLE AS z1 FROM sums GROUP BY text_id)"""
+_PREDICTION = "CASE WHEN z1 > z0 THEN 1 ELSE 0 END"
+_LABEL = "CASE WHEN z1 > z0 THEN 'Human-Written' ELSE 'AI-Generated' END"
+_CONFIDENCE = sql_rounded("1 / (exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z0, z1)))")
+
+
+@query("scored_json", with_views("", "turns", "vocab5").rstrip() + f"""
+    , good AS (SELECT text_id, text, {words('text')} AS tokens FROM turns),
+    enc AS ({encoded('good', 'vocab5', 'text_id')}), {_LINEAR}
+    SELECT text_id, CAST(json_object('index', text_id, 'text', text, 'prediction', {_PREDICTION},
+        'confidence', {_CONFIDENCE}, 'label', {_LABEL}) AS VARCHAR) AS json FROM z JOIN good USING (text_id)""")
+def scored_json(spark, sf_dir):
+    """Every conversation turn as the JSON a client would get."""
+    turns = v.turns(spark, sf_dir).drop("role")
+    scorer = linear_text_scorer(vocab5(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id", "text"])
+    scored = scorer(turns).withColumn("index", F.col("text_id"))
+    shown = scored.withColumn("confidence", rounded(F.col("confidence")))
+    return s.as_json(shown, ["index", "text", "prediction", "confidence", "label"], ["text_id"])
+
+
+_SCORED_ROWS = f"""
+    , good AS (SELECT request_id * 100000 + index AS text_id, request_id, index, {words('text')} AS tokens
+               FROM batch_rows WHERE length({strip('text')}) > 0),
+    enc AS ({encoded('good', 'vocab5', 'text_id')}), {_LINEAR}
+    SELECT request_id, index, {_PREDICTION} AS prediction, {_LABEL} AS label, {_CONFIDENCE} AS confidence
     FROM z JOIN good USING (text_id)"""
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from penmark.functions.rows import one_per_item
 from penmark.operators.curate import GENERATED, HUMAN
 
 # How a record names its source.
@@ -52,7 +53,7 @@ def generated_records(
     runs: DataFrame, texts: str, keys: list[str], model: str = "gpt-4o-mini", temperature: float = 0.7
 ) -> DataFrame:
     """One record per generated text of a run, numbered in the order of its prompts."""
-    rows = runs.select(*keys, F.posexplode(texts).alias("at", "text"))
+    rows = one_per_item(runs, keys, texts, "text", "at")
     return rows.select(
         *keys,
         F.concat(F.lit("gen_"), F.col("at")).alias("text_id"),

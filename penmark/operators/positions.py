@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from penmark.functions.ids import SEED, seeded_hash
 from penmark.session import materialise
 
-CHUNK_BITS = 16
+CHUNK_BITS = 16  # a chunk of unique integer positions has at most 2**16 rows
+COARSE_BITS = 20  # chunks are summed in groups of at most 2**20
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
@@ -16,17 +17,34 @@ def chunk_of(position: Column, bits: int = CHUNK_BITS) -> Column:
     return F.shiftright(position, bits)
 
 
+def _before(by: list[str], order: list[str]) -> Column:
+    """Running sum of ``_n`` over the earlier rows."""
+    window = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+    return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def _first_of_each(sizes: DataFrame, keys: list[str]) -> DataFrame:
-    """Number of rows in all earlier chunks. Sees one row per chunk, never the rows."""
-    earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    """Number of rows in all earlier chunks, in two levels.
+
+    Neighbouring chunks are summed into groups; the groups are few enough for one window,
+    and the chunks of a group are summed next to each other. So sparse positions, which
+    make many small chunks, still put no more than 2**20 chunk sizes into one task.
+    """
+    *outer, last = keys
+    grouped = sizes.withColumn("_group", F.shiftright(last, COARSE_BITS))
+    by = [*outer, "_group"]
+    totals = grouped.groupBy(*by).agg(F.sum("_n").alias("_n"))
+    starts = totals.select(*by, _before([], by).alias("_start"))
+    inside = grouped.select(*by, last, _before(by, [last]).alias("_inside"))
+    return inside.join(starts, by).select(*keys, (F.col("_start") + F.col("_inside")).alias("_first"))
 
 
 def dense_ids(df: DataFrame, order: list[str], chunk: list[str], name: str) -> DataFrame:
     """Ids 0..n-1 in the order of (``chunk``, ``order``).
 
-    ``chunk`` must be a non-null coarse prefix of the order with a bounded number of rows
-    in each value (a file, ``chunk_of(position)``, the head of a hash). Rows are numbered
+    ``chunk`` must be a non-null coarse prefix of the order, its last column an integer,
+    with a bounded number of rows in each value (a file, ``chunk_of(position)`` of unique
+    positions, the head of a hash). Rows are numbered
     inside their chunk and shifted by the size of the chunks before; both the numbering
     and the join need the rows placed by chunk, so they move once.
     """
@@ -51,7 +69,7 @@ def positions(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     stored = materialise(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", _LOCAL_BITS)
     sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    first = _first_of_each(sizes, ["_part"])
+    first = sizes.select("_part", _before([], ["_part"]).alias("_first"))
     local = F.col("_at").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
         stored.withColumn("_part", part)
@@ -74,5 +92,5 @@ def seeded_order(df: DataFrame, key: str, name: str, seed: int = SEED) -> DataFr
     The first four hex digits give 65,536 even chunks whatever the keys look like.
     """
     hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed))
-    placed = hashed.withColumn("_chunk", F.substring("_hash", 1, 4))
+    placed = hashed.withColumn("_chunk", F.conv(F.substring("_hash", 1, 4), 16, 10).cast("bigint"))
     return dense_ids(placed, ["_hash"], ["_chunk"], name).drop("_chunk", "_hash")

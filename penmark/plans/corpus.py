@@ -106,8 +106,8 @@ def main_sources(spark, sf_dir):
     """The four sources of the main table, in order."""
     return [
         c.placed(c.curate_posts(v.raw_posts(spark, sf_dir))),
-        c.placed(c.curate_generated(v.raw_generated(spark, sf_dir)), v.CHUNK_OF_TURNS),
-        c.placed(v.human_corpus(spark, sf_dir), v.CHUNK_OF_TURNS),
+        c.placed(c.curate_generated(v.raw_generated(spark, sf_dir))),
+        c.placed(v.human_corpus(spark, sf_dir)),
         c.placed(v.labelled_corpus(spark, sf_dir)),
     ]
 
@@ -136,7 +136,7 @@ def main_build(spark, sf_dir):
     made, _ = k.write_curated(c.curate_generated(v.raw_generated(spark, sf_dir)), root, "generated")
     sources = [
         c.placed(r.read_curated(spark, posts)),
-        c.placed(r.read_curated(spark, made), v.CHUNK_OF_TURNS),
+        c.placed(r.read_curated(spark, made)),
         c.placed(r.read_human_csv(spark, land_human_csv(spark, sf_dir))),
         c.placed(r.read_labelled_csv(spark, land_labelled_csv(spark, sf_dir))),
     ]
@@ -166,8 +166,8 @@ def prepare_data(spark, sf_dir):
     made, _ = k.write_curated(c.curate_generated(v.raw_generated(spark, sf_dir)), root, "generated")
     sources = [
         c.placed(r.read_curated(spark, posts)),
-        c.placed(r.read_curated(spark, made), v.CHUNK_OF_TURNS),
-        c.placed(v.human_corpus(spark, sf_dir), v.CHUNK_OF_TURNS),
+        c.placed(r.read_curated(spark, made)),
+        c.placed(v.human_corpus(spark, sf_dir)),
         c.placed(v.labelled_corpus(spark, sf_dir)),
     ]
     main, _ = k.write_curated(c.merge_main(sources), root, "main")

@@ -45,8 +45,9 @@ _CONFIDENCE = sql_rounded("1 / (exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z
 def scored_json(spark, sf_dir):
     """Every conversation turn as the JSON a client would get."""
     turns = v.turns(spark, sf_dir).drop("role")
-    scorer = linear_text_scorer(vocab5(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id", "text"])
-    scored = scorer(turns).withColumn("index", F.col("text_id"))
+    scorer = linear_text_scorer(vocab5(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id"])
+    # The texts join their scores again at the end: as a key they would be repeated per token.
+    scored = scorer(turns).join(turns, "text_id").withColumn("index", F.col("text_id"))
     shown = scored.withColumn("confidence", rounded(F.col("confidence")))
     return s.as_json(shown, ["index", "text", "prediction", "confidence", "label"], ["text_id"])
 

@@ -12,15 +12,16 @@ from penmark.functions import tokens as tk
 from penmark.session import spread
 
 TURN_BITS = 24  # a conversation's turns take the low bits of its positions
-CHUNK_OF_TURNS = TURN_BITS + 12
 
 
-KEYS = {"documents": "doc_id", "events": "event_id", "conversations": "conv_id", "embeddings": "vec_id"}
+KEYS = {
+    "documents": ("doc_id",), "events": ("event_id",), "conversations": ("conv_id", "turn"), "embeddings": ("vec_id",),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, KEYS[name]) if name in KEYS else rows
+    return spread(rows, *KEYS[name]) if name in KEYS else rows
 
 
 def documents(spark, sf_dir):

@@ -49,6 +49,15 @@ def test_dense_ids_cover_zero_to_n(spark):
     assert [x["i"] for x in ordered] == list(range(len(ordered)))
 
 
+def test_dense_ids_of_sparse_positions_with_a_hot_range(spark):
+    """A third of the rows sit in one run of neighbours, the rest far apart."""
+    far = spark.range(200).select((F.col("id") * (1 << 40) + 5).alias("pos"))
+    near = spark.range(100).select(((F.lit(7) * (1 << 40)) + 6 + F.col("id") * 3000).alias("pos"))
+    rows = far.unionByName(near).withColumn("c", chunk_of(F.col("pos")))
+    got = sorted(dense_ids(rows, ["pos"], ["c"], "i").collect(), key=lambda x: x["pos"])
+    assert [x["i"] for x in got] == list(range(300))
+
+
 def test_positions_follow_a_mixed_order(spark):
     rng = random.Random(1)
     data = [(f"w{i}", rng.randrange(5)) for i in range(500)]

@@ -34,7 +34,8 @@ def main() -> None:
         spark__driver__memory="16g",
     )
     spark.sparkContext.setLogLevel("OFF")
-    spark.read.parquet(f"{sf_dir}/documents.parquet").count()  # start the engine
+    for name in ("clean_text", "dedup_keep_first"):  # start the engine, untimed
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:
         start = time.perf_counter()

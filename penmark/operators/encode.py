@@ -63,7 +63,10 @@ def encode_for_serving(df: DataFrame, vocab: DataFrame, keys: list[str], text: s
 
 
 def pad_batches(df: DataFrame, key: str, size: int) -> DataFrame:
-    """Pad every index array to the longest of its batch. A batch has ``size`` rows."""
+    """Pad every index array to the longest of its batch. A batch has ``size`` rows.
+
+    Numbering the batches reads ``df`` twice: hand in a stored table.
+    """
     batched = batches(df, key, size)
     longest = F.max(F.size("ids")).over(Window.partitionBy("batch_id"))
     return batched.withColumn("longest", longest).withColumn(
@@ -103,7 +106,7 @@ def mean_embedding(
     """
     rows = df.select(*keys, F.posexplode_outer("ids").alias("at", "idx"))
     found = lookup(rows, vectors, "idx", spread_by=[keys[0], "at"], **options)
-    sums = [F.sum(F.col("vec")[i].cast("double")).alias(f"s{i}") for i in range(dims)]
+    sums = [F.expr(f"sum(cast(vec[{i}] AS double)) AS s{i}") for i in range(dims)]
     totals = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sums)
-    mean = [F.coalesce(F.col(f"s{i}"), F.lit(0.0)) / F.col("_n") for i in range(dims)]
-    return totals.select(*keys, F.array(*mean).alias("mean"))
+    mean = ", ".join(f"coalesce(s{i}, 0D) / _n" for i in range(dims))
+    return totals.select(*keys, F.expr(f"array({mean}) AS mean"))

@@ -10,7 +10,8 @@ from penmark.operators.positions import batches, seeded_order
 from penmark.operators.split import split_by_hash, split_exact
 from penmark.plans import views as v
 from penmark.plans.registry import query, rounded, shown
-from penmark.plans.sql import alpha, encoded, rounded as sql_rounded, with_views, words
+from penmark.plans.sql import encoded, rounded as sql_rounded, with_views, words
+from penmark.session import materialise
 
 MIN_COUNT = 5  # words rarer than this stay out of the vocabulary
 DIMS = 64  # of the given embeddings
@@ -109,7 +110,7 @@ def encoded_lengths(spark, sf_dir):
     FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS longest FROM (
         SELECT *, (row_number() OVER (ORDER BY text_id) - 1) // 314 AS batch_id FROM encoded))""", "encoded"))
 def pad_batch(spark, sf_dir):
-    rows = e.pad_batches(encoded_tokens(spark, sf_dir), "text_id", 314)
+    rows = e.pad_batches(materialise(encoded_tokens(spark, sf_dir)), "text_id", 314)
     return rows.select("text_id", "batch_id", "longest", F.md5(shown(F.col("ids"))).alias("padded"))
 
 
@@ -119,7 +120,7 @@ def batch_ids(spark, sf_dir):
 
 
 def turn_ids(spark, sf_dir):
-    """Conversation turns as indexes of the given vectors: hashed words, 0 for short ones."""
+    """Conversation turns as indexes; those past the given vectors count as unknown."""
     rows = v.turns(spark, sf_dir).select("text_id", tk.tokenize(F.col("text")).alias("tokens"))
     return e.encode(rows, vocab5(spark, sf_dir), ["text_id"])
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from penmark import schemas
-from penmark.functions import ids, naming, scoring as sc, tokens as tk
+from penmark.functions import ids, naming, scoring as sc
 from penmark.operators import clean, curate, encode as e, history, registry, score as s, split
 from penmark.operators.dedup import keep_first
 from penmark.operators.lookup import lookup

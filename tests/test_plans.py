@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from penmark.operators.clean import clean_corpus
 from penmark.operators.curate import curate_posts

@@ -160,8 +160,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint, row and nothing else of every word ``[^\\x20\\x09-\\x0D]+`` of many texts, plus the words per row."""
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A fingerprint of every word ``[^\\x20\\x09-\\x0D]+`` of many texts in order, and the number of words of each text."""
     symbols, counts = [], np.zeros(len(texts), np.int64)
     at = 0
     while at < len(texts):
@@ -169,40 +169,46 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         while stop < len(texts) and len(texts[stop]) + 1 <= room:
             room -= len(texts[stop]) + 1
             stop += 1
-        if stop == at:  # a text longer than a chunk: word by word
+        if stop == at:  # a text longer than a chunk
             own = texts[at].split()
-            found, _, _ = words_of([b" ".join(own[i : i + 50_000]) for i in range(0, len(own), 50_000)]) \
-                if max(map(len, own), default=0) < CHUNK // 4 and len(own) > 50_000 else (_long_words(own), None, None)
-            symbols.append(found)
+            symbols += _long_words(own)
             counts[at] = len(own)
             at += 1
             continue
         data = np.frombuffer(b" ".join(texts[at:stop]) + b" ", np.uint8)
-        space = _SPACE[data]
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).astype(np.int8)))
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data])).astype(np.int8)))
         begin, end = edge[0::2], edge[1::2]
         roll = Rolling(byte_symbols()[data], _WORD_BASE)
         symbols.append(mix(roll.of(begin, end) + (end - begin).astype(np.uint64)))
         ends = np.cumsum([len(t) + 1 for t in texts[at:stop]])
         counts[at:stop] = np.diff(np.concatenate(([0], np.searchsorted(begin, ends))))
         at = stop
-    return (np.concatenate(symbols) if symbols else np.zeros(0, np.uint64)), counts, np.cumsum(counts)
+    return (np.concatenate(symbols) if symbols else np.zeros(0, np.uint64)), counts
 
 
-def _long_words(words: list[bytes]) -> np.ndarray:
-    """As :func:`words_of` for single words of any length: the fingerprint of a word is the sum over its chunks."""
-    out = np.zeros(len(words), np.uint64)
+def _long_words(words: list[bytes]) -> list[np.ndarray]:
+    """As :func:`words_of` for the words of one long text. A word longer than a chunk is summed chunk by chunk."""
+    out, now, room = [], [], CHUNK - 1
+    for word in words:
+        if len(word) + 1 > room and now:
+            out.append(words_of([b" ".join(now)])[0])
+            now, room = [], CHUNK - 1
+        if len(word) + 1 > room:
+            out.append(_long_word(word))
+        else:
+            now.append(word)
+            room -= len(word) + 1
+    return [*out, words_of([b" ".join(now)])[0]] if now else out
+
+
+def _long_word(word: bytes) -> np.ndarray:
+    total, scale, full = 0, 1, (1 << 64) - 1
     up, _ = _powers(_WORD_BASE)
-    step = pow(_WORD_BASE, CHUNK, 1 << 64)
-    with np.errstate(over="ignore"):
-        for i, word in enumerate(words):
-            total, scale = 0, 1
-            for j in range(0, len(word), CHUNK):
-                part = byte_symbols()[np.frombuffer(word[j : j + CHUNK], np.uint8)]
-                total = (total + scale * int((part * up[: len(part)]).sum(dtype=np.uint64))) & ((1 << 64) - 1)
-                scale = scale * step & ((1 << 64) - 1)
-            out[i] = mix(mix(np.array([total], np.uint64)) + np.uint64(len(word)))[0]
-    return out
+    for j in range(0, len(word), CHUNK):
+        part = byte_symbols()[np.frombuffer(word[j : j + CHUNK], np.uint8)]
+        total = (total + scale * int((part * up[: len(part)]).sum(dtype=np.uint64))) & full
+        scale = scale * pow(_WORD_BASE, CHUNK, 1 << 64) & full
+    return mix(mix(np.array([total], np.uint64)) + np.uint64(len(word)))
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -224,8 +230,8 @@ def slices(batch: pa.RecordBatch, most: int = 8 << 20):
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``_k1, _k2``: a key without nulls. Rows equal in id and text share it (and share their results)."""
+    """``_k1, _k2``: a key without nulls, null ids last. Rows equal in id and text share it (and share their results)."""
     return docs.withColumns({
-        "_k1": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
+        "_k1": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)),
         "_k2": F.xxhash64(F.col("text"), F.col("doc_id").isNull()),
     })

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import suffix_dedup
+from penmark.llm import simhash_dedup, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
@@ -15,8 +15,22 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op8_window_dedup": op8_window_dedup,
+    "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 CHECKS: dict[str, str] = {}

@@ -6,11 +6,11 @@ bucket holds equal windows of ``size`` bytes or one window only:
 1. *q-gram buckets*: every window belongs to the bucket of its anchor gram (see :mod:`common`). Buckets with one group are done.
 2. *context*: groups of a bucket are split by the identifier of all bytes their windows cover. A context that occurs twice makes
    all its windows repeated; a bucket with one context is done. All later steps see one group per context.
-3. *blocks*: groups of buckets that stay mixed are split into blocks of 16 window starts, by the identifier of the bytes common to
-   the windows of a block. Blocks that stand alone are done.
-4. *windows*: the windows of the remaining blocks, by the identifier of their own ``size`` bytes.
+3. *blocks*: groups of buckets that stay mixed are split into blocks of 16 window starts. A block's bucket is the identifier of the
+   bytes its windows share; it is refined by the identifier of all the bytes they cover, with the same rules as in 2.
+4. *windows*: the windows of blocks that stay mixed, by the identifier of their own ``size`` bytes within the block's bucket.
 
-Identifiers of steps 2 and 4 have 128 bits (4: with the anchor's). A hot bucket never meets in one task: every step counts
+Identifiers have 128 bits (3 and 4: with the bucket's). A hot bucket never meets in one task: every step counts
 identifiers with a partial aggregation and joins the counts back, which Spark may split.
 
 Null and empty texts have no window. Rows equal in id and text are separate documents (each repeats the other). Order of rows and
@@ -32,7 +32,11 @@ from penmark.llm.common import (
 SIZE, GRAM, BLOCK = 400, 128, 16
 KEY = ["_k1", "_k2"]
 _GROUP = "_k1 long, _k2 long, lo long, n int, off int, gram long, c1 long, c2 long"
-_BLOCK = "_k1 long, _k2 long, gram long, weight int, core long, start long, windows array<long>"
+_SLICE = "_k1 long, _k2 long, lo long, n int, off int, gram long, weight int, bytes binary"
+_SLICE_ARROW = pa.schema([(c, pa.binary() if t == "binary" else pa.int32() if t == "int" else pa.int64())
+                          for c, t in (x.split() for x in _SLICE.split(", "))])
+_BLOCK = "_k1 long, _k2 long, lo long, step int, many int, weight int, core long, full long"
+_WINDOW = "_k1 long, _k2 long, at long, weight int, core long, window long"
 
 
 def _groups(size: int, gram: int):
@@ -57,45 +61,81 @@ def _groups(size: int, gram: int):
     return run
 
 
-def _blocks(size: int):
-    """Blocks of window starts, aligned to the anchor, for the groups listed with each text."""
-
-    def emit(rows: list, data: list[bytes]) -> pa.RecordBatch:
-        k1, k2, lo, n, off, gram, weight = (np.array(x, np.int64) for x in zip(*rows))
-        begin = np.concatenate(([0], np.cumsum([len(d) for d in data])))[:-1]
-        symbols = byte_symbols()[np.frombuffer(b"".join(data), np.uint8)]
-        roll = rolling(symbols)
-        own = np.repeat(np.arange(len(n)), n)
-        step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-        at = begin[own] + step
-        block = (off[own] - step) // BLOCK
-        heads = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (block[1:] != block[:-1]))))
-        g, b = own[heads], block[heads]
-        core = begin[g] + off[g] - b * BLOCK
-        core_id = mix(roll.of(core, core + size - BLOCK + 1) ^ mix(gram[g].view(np.uint64) + b.astype(np.uint64)))
-        windows = pa.array(roll.of(at, at + size).view(np.int64))
-        lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(own)).astype(np.int32)), windows)
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array(x) for x in (k1[g], k2[g], gram[g], weight[g].astype(np.int32), core_id.view(np.int64),
-                                     lo[g] + step[heads])), lists],
-            names=["_k1", "_k2", "gram", "weight", "core", "start", "windows"],
-        )
+def _own_bytes(size: int):
+    """The bytes of every group listed with a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
-            texts = utf8(batch.column("text"))
-            rows, data, room = [], [], CHUNK - 1
-            for i, (a, b, groups) in enumerate(zip(*(batch.column(c).to_pylist() for c in (*KEY, "groups")))):
-                for g in groups:
-                    part = texts[i][g["lo"] : g["lo"] + g["n"] - 1 + size]
-                    if len(part) > room:
-                        yield emit(rows, data)
-                        rows, data, room = [], [], CHUNK - 1
-                    rows.append((a, b, g["lo"], g["n"], g["off"], g["gram"], g["weight"]))
-                    data.append(part)
-                    room -= len(part)
+            texts, rows = utf8(batch.column("text")), []
+            for text, a, b, groups in zip(texts, *(batch.column(c).to_pylist() for c in (*KEY, "groups"))):
+                rows += [(a, b, *g.values(), text[g["lo"] : g["lo"] + g["n"] - 1 + size]) for g in groups]
             if rows:
-                yield emit(rows, data)
+                columns = [pa.array(x, f.type) for x, f in zip(zip(*rows), _SLICE_ARROW)]
+                yield pa.RecordBatch.from_arrays(columns, names=_SLICE_ARROW.names)
+
+    return run
+
+
+def _parts(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Columns, symbols and where each row's symbols begin, for at most ``CHUNK`` symbols at once."""
+    for batch in batches:
+        data = batch.column("bytes").to_pylist()
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in names]
+        ends = np.cumsum([len(d) for d in data])
+        at = 0
+        while at < len(data):
+            done = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + CHUNK - 1, side="right")))
+            part = b"".join(data[at:stop])
+            begin = np.concatenate(([0], ends[at : stop - 1] - done)).astype(np.int64)
+            yield [c[at:stop] for c in columns], byte_symbols()[np.frombuffer(part, np.uint8)], begin
+            at = stop
+
+
+def _blocks(size: int):
+    """Blocks of window starts, aligned to the anchor: what all their windows share, and all they cover."""
+    width = max(1, min(BLOCK, size // 4))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (k1, k2, lo, n, off, gram, weight), symbols, begin in _parts(batches, [*KEY, "lo", "n", "off", "gram", "weight"]):
+            roll = rolling(symbols)
+            own = np.repeat(np.arange(len(n)), n)
+            step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+            block = (off[own] - step) // width
+            heads = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (block[1:] != block[:-1]))))
+            g, b, first = own[heads], block[heads], step[heads]
+            many = np.diff(np.append(heads, len(own)))
+            shared = begin[g] + off[g] - b * width
+            core = mix(roll.of(shared, shared + size - width + 1) ^ mix(gram[g].view(np.uint64) + b.astype(np.uint64)))
+            at = begin[g] + first
+            shape = mix(((off[g] - first).astype(np.uint64) << np.uint64(32)) | many.astype(np.uint64))
+            full = mix(roll.of(at, at + many - 1 + size) ^ shape)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (k1[g], k2[g], lo[g], first.astype(np.int32), many.astype(np.int32),
+                                       weight[g].astype(np.int32), core.view(np.int64), full.view(np.int64))],
+                names=["_k1", "_k2", "lo", "step", "many", "weight", "core", "full"],
+            )
+
+    return run
+
+
+def _windows(size: int):
+    """Identifiers of the windows of the blocks listed with each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (k1, k2, lo, lists), symbols, begin in _parts(batches, [*KEY, "lo", "blocks"]):
+            roll = rolling(symbols)
+            rows = [(i, b["step"], b["many"], b["core"], b["weight"]) for i, blocks in enumerate(lists) for b in blocks]
+            g, step, many, core, weight = (np.array(x, np.int64) for x in zip(*rows))
+            own = np.repeat(np.arange(len(many)), many)
+            step = step[own] + np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+            g = g[own]
+            at = begin[g] + step
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (k1[g], k2[g], lo[g] + step, weight[own].astype(np.int32), core[own],
+                                       roll.of(at, at + size).view(np.int64))],
+                names=["_k1", "_k2", "at", "weight", "core", "window"],
+            )
 
     return run
 
@@ -121,16 +161,32 @@ def repeated_starts(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> Data
         .groupBy(*KEY).agg(F.collect_list(F.struct("lo", "n", "off", "gram", "weight")).alias("groups"))
     )
     # Rows equal in id and text have one key: their groups weigh two or more, one of them is enough.
-    blocks = arrow(texts.join(open_groups, KEY), _blocks(size), _BLOCK)
-    blocks = store(blocks, "op2-blocks")
-    shared = blocks.groupBy("core").agg(F.sum("weight").alias("_n")).where("_n > 1").select("core")
-    windows = blocks.join(shared, "core", "left_semi").select(
-        *KEY, "gram", "weight", "start", F.posexplode("windows").alias("step", "window")
+    own = store(arrow(texts.join(open_groups, KEY), _own_bytes(size), _SLICE), "op2-slices")
+    blocks = arrow(own, _blocks(size), _BLOCK)
+    identity = ["core", "full"]
+    fulls = store(
+        blocks.groupBy(*identity).agg(
+            F.sum("weight").alias("weight"), F.min(F.struct(*KEY, "lo", "step", "many")).alias("first")
+        ), "op2-blocks",
+    )
+    again = fulls.where("weight > 1").select(*identity)
+    start = F.col("lo") + F.col("step")
+    whole_blocks = blocks.where("weight = 1").join(again, identity, "left_semi").select(
+        *KEY, start.alias("lo"), (start + F.col("many") - 1).alias("hi")
+    )
+    mixed = fulls.groupBy("core").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core")
+    open_blocks = (
+        fulls.join(mixed, "core", "left_semi")
+        .select("first.*", "core", F.least("weight", F.lit(2)).cast("int").alias("weight"))
+        .groupBy(*KEY, "lo").agg(F.collect_list(F.struct("step", "many", "core", "weight")).alias("blocks"))
+    )
+    windows = store(
+        arrow(own.select(*KEY, "lo", "bytes").join(open_blocks, [*KEY, "lo"]), _windows(size), _WINDOW), "op2-windows"
     )
-    again = windows.groupBy("gram", "window").agg(F.sum("weight").alias("_n")).where("_n > 1").select("gram", "window")
-    single = windows.where("weight = 1").join(again, ["gram", "window"], "left_semi")
-    at = F.col("start") + F.col("step")
-    return whole.unionByName(single.select(*KEY, at.alias("lo"), at.alias("hi")))
+    again = windows.groupBy("core", "window").agg(F.sum("weight").alias("_n")).where("_n > 1").select("core", "window")
+    single = windows.where("weight = 1").join(again, ["core", "window"], "left_semi")
+    single = single.select(*KEY, F.col("at").alias("lo"), F.col("at").alias("hi"))
+    return whole.unionByName(whole_blocks).unionByName(single)
 
 
 def _cut(size: int):

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import simhash_dedup, suffix_dedup, window_dedup
+from penmark.llm import packing, simhash_dedup, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
+def tokenizer_path() -> str:
+    """The public byte-level BPE file that the production queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -28,6 +39,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op8_window_dedup": op8_window_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,

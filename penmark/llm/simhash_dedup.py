@@ -3,22 +3,23 @@
 1. *Fingerprints*: words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case, shingles of ``words`` words, the XXH64 (seed 42) of
    every shingle, repeats included; a bit is 1 if it is set in over half of the hashes. Null, empty and blank texts have 0.
 2. *Classes*: rows with one fingerprint are one class from here on, so a group of copies is one row.
-3. *Embedding*: the bits set in each of 16 segments of four bits make a point of a grid. The Manhattan distance of two points is never
+3. *Embedding*: the bits set in each of 32 segments of two bits make a point of a grid. The Manhattan distance of two points is never
    more than the Hamming distance of the fingerprints, so links (two bits or fewer) lie within two steps of each other.
 4. *Range join*: two points within two steps have a grid point within one step of both. Every fingerprint is put on its grid point and
-   the up to 32 around it; a fingerprint that meets no other has no link and is done. Nothing else is lost or ruled out here.
+   the up to 64 around it; a fingerprint that meets no other has no link and is done. Nothing else is lost or ruled out here.
 5. *Exact check*: two fingerprints differ in two bits or fewer exactly if one flipped bit (or none) in each makes them equal. The
    fingerprints left are put on their 65 such values; all that meet on a value are linked to the smallest there. So no pairs of a
    group are listed, and what is linked is linked in truth.
 6. *Components* over classes, then the smallest ``doc_id`` of each.
 
-Rows: 33 for each distinct fingerprint and 65 for each that met another, both only counted or reduced to a minimum, so hot grid
+Rows: about 49 for each distinct fingerprint and 65 for each that met another, both only counted or reduced to a minimum, so hot grid
 points shrink before they are shuffled. A null ``doc_id`` takes part and never names a component if there is another id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from penmark.llm.common import arrow, slices, store, utf8
 from penmark.llm.components import components
 
-WORDS, SEED, SEGMENTS = 3, 42, 16
+WORDS, SEED, SEGMENTS = 3, 42, 32
 MAX_BITS = 2
 
 
@@ -70,13 +71,18 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def _grid_points(segments: int = SEGMENTS) -> Column:
-    """The grid point of ``fp`` and those one step away, each as one number of four bits per segment."""
+    """The grid point of ``fp`` and those one step away, each as one number with a field per segment."""
     width = 64 // segments
     counts = [F.bit_count(F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1))) for i in range(segments)]
-    steps = [F.shiftleft(F.lit(1).cast("long"), 4 * i) for i in range(segments)]
-    own = sum((F.shiftleft(c.cast("long"), 4 * i) for i, c in enumerate(counts)), F.lit(0).cast("long"))
-    up = [F.when(c < width, own + s) for c, s in zip(counts, steps)]
-    down = [F.when(c > 0, own - s) for c, s in zip(counts, steps)]
+    own = reduce(Column.bitwiseOR, [F.shiftleft(c.cast("long"), width * i) for i, c in enumerate(counts)])
+
+    def moved(i: int, by: int) -> Column:
+        """The own point with one more or one less in a segment."""
+        return own.bitwiseXOR(F.shiftleft(counts[i].bitwiseXOR(counts[i] + by).cast("long"), width * i))
+
+    up = [F.when(c < width, moved(i, 1)) for i, c in enumerate(counts)]
+    down = [F.when(c > 0, moved(i, -1)) for i, c in enumerate(counts)]
+    # Two bits hold the counts 0 to 2 of two bits; wider segments would need a wider field.
     return F.array_compact(F.array(own, *up, *down))
 
 
@@ -84,11 +90,11 @@ def links(prints: DataFrame) -> DataFrame:
     """``a, b``: links between distinct fingerprints that differ in one or two bits, enough to join what is connected."""
     points = prints.select("fp", F.explode(_grid_points()).alias("point"))
     met = points.groupBy("point").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x < y").select("point")
-    near = points.join(met, "point", "left_semi").select("fp").distinct()
+    near = points.join(met.hint("merge"), "point", "left_semi").select("fp").distinct()
     flips = [F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64))]
     values = store(near, "op10-near").select("fp", F.explode(F.array(*flips)).alias("value"))
     least = values.groupBy("value").agg(F.min("fp").alias("b"), F.max("fp").alias("y")).where("b < y").select("value", "b")
-    return values.join(least, "value").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    return values.join(least.hint("merge"), "value").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def _signed(x: int) -> int:

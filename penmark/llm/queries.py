@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import packing, simhash_dedup, suffix_dedup, window_dedup
+from penmark.llm import packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
@@ -26,12 +26,20 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -41,7 +49,9 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_sharding": op5_sharding,
     "op8_window_dedup": op8_window_dedup,
+    "op9_quality": op9_quality,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
+from penmark.llm import decontaminate, packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op8_window_dedup": op8_window_dedup,
     "op9_quality": op9_quality,

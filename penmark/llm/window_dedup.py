@@ -183,7 +183,9 @@ def repeated_starts(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: i
     return whole.unionByName(some.select(*KEY, at.alias("lo"), at.alias("hi")))
 
 
-def _cut(size: int):
+def _cut(size: int, rewrite: bool = False):
+    """Cut the listed windows out of every text. ``rewrite``: give the rows with their new text instead of a report."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
             out = []
@@ -199,6 +201,12 @@ def _cut(size: int):
                 kept = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]
                 out.append((len(words), len(words) - len(kept), [{"start": a, "end": b} for a, b in spans], b" ".join(kept)))
             n, removed, spans, kept = zip(*out)
+            if rewrite:
+                text = [t if not gone else k.decode() for t, gone, k in zip(batch.column("text").to_pylist(), removed, kept)]
+                columns = {k: batch.column(k) for k in batch.schema.names if k != "runs"} | {"text": pa.array(text, pa.string())}
+                rest = pa.array([not gone or bool(k) for gone, k in zip(removed, kept)])
+                yield pa.RecordBatch.from_pydict(columns).filter(rest)
+                continue
             given = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "runs")]
             yield pa.RecordBatch.from_arrays(
                 [*given, pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
@@ -215,3 +223,10 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: in
     rows = keyed(docs).select(*KEY, F.col("doc_id").cast("long").alias("doc_id"), "text").join(runs, KEY, "left")
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
     return arrow(rows.select("doc_id", "text", "runs"), _cut(size), schema)
+
+
+def rewrite(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: int = BITS, depth: int = DEPTH) -> DataFrame:
+    """``docs`` with the repeated words cut from ``text`` (other texts unchanged, byte for byte). Rows of which nothing stays are left out."""
+    runs = repeated_starts(docs, size, gram, bits, depth).groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    rows = keyed(docs).join(runs, KEY, "left").select(*docs.columns, "runs")
+    return arrow(rows, _cut(size, rewrite=True), docs.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import decontaminate, nearest, packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
+from penmark.llm import decontaminate, hmm, nearest, packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % nearest.EVERY == 0)
 
 
+def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -60,6 +64,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_nearest": op6_nearest,
+    "op7_hmm": op7_hmm,
     "op8_window_dedup": op8_window_dedup,
     "op9_quality": op9_quality,
     "op10_simhash_dedup": op10_simhash_dedup,

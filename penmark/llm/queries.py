@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import decontaminate, hmm, nearest, packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
+from penmark.llm import decontaminate, extract, hmm, nearest, packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,6 +65,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_extract": op3_extract,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_nearest": op6_nearest,

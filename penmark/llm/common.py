@@ -230,8 +230,8 @@ def slices(batch: pa.RecordBatch, most: int = 8 << 20):
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``_k1, _k2``: a key without nulls, null ids last. Rows equal in id and text share it (and share their results)."""
+    """``__k1, __k2``: a key without nulls, null ids last. Rows equal in id and text share it (and share their results)."""
     return docs.withColumns({
-        "_k1": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)),
-        "_k2": F.xxhash64(F.col("text"), F.col("doc_id").isNull()),
+        "__k1": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)),
+        "__k2": F.xxhash64(F.col("text"), F.col("doc_id").isNull()),
     })

@@ -24,7 +24,7 @@ from penmark.llm.common import keyed, store
 
 WORDS, THRESHOLD, RADIUS = 5, 0.8, 15
 MAP_BITS = 22  # of the bit map: half a megabyte
-KEY = ["_k1", "_k2"]
+KEY = ["__k1", "__k2"]
 
 
 def _words(text: Column) -> Column:
@@ -85,7 +85,7 @@ def _bit_map(grams: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``_k1, _k2, item_id, start, n_words, hamming, similarity``: see the module. ``start`` is in words, from 0."""
+    """``__k1, __k2, item_id, start, n_words, hamming, similarity``: see the module. ``start`` is in words, from 0."""
     items = store(_items(benchmark, words), "op4-items")
     grams = items.select("n", "k", F.posexplode("shingles").alias("o", "shingle")).distinct()
     bits = store(_bit_map(grams), "op4-bits").scalar()

@@ -143,17 +143,17 @@ def _encode(vocabulary: Vocabulary):
             far_at = np.concatenate(([0], np.cumsum(np.bincount(pairs[heads, 0].astype(np.int64), minlength=len(lengths)))))
             rest = pa.StructArray.from_arrays([pa.array(pairs[heads, 1].view(np.int64)), pa.array(repeats.astype(np.int32))], names=["w", "n"])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("_k1", "_k2", "doc_id", "held_out")), pa.array(lengths), pa.array(per_row(known).astype(np.int64)),
+                [*(batch.column(c) for c in ("__k1", "__k2", "doc_id", "held_out")), pa.array(lengths), pa.array(per_row(known).astype(np.int64)),
                  pa.array(per_row(np.where(known, logs, 0)) - floor * lengths), pa.array(per_row(share)),
                  pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(symbols)),
                  pa.ListArray.from_arrays(pa.array(far_at.astype(np.int32)), rest)],
-                names=["_k1", "_k2", "doc_id", "held_out", "n_tokens", "n_known", "base", "share", "symbols", "rest"],
+                names=["__k1", "__k2", "doc_id", "held_out", "n_tokens", "n_known", "base", "share", "symbols", "rest"],
             )
 
     return run
 
 
-_CODED = ("_k1 long, _k2 long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, share double, "
+_CODED = ("__k1 long, __k2 long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, share double, "
           "symbols array<int>, rest array<struct<w:long,n:int>>")
 
 
@@ -310,7 +310,7 @@ def log_likelihoods(model: Hmm, symbols: pa.Array) -> np.ndarray:
 
 def _scores(model: Hmm):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = ["_k1", "_k2", "doc_id", "held_out", "n_tokens", "n_known", "base", "share"]
+        keep = ["__k1", "__k2", "doc_id", "held_out", "n_tokens", "n_known", "base", "share"]
         for batch in batches:
             if batch.num_rows:
                 found = log_likelihoods(model, batch.column("symbols")) / math.log(10)
@@ -321,7 +321,7 @@ def _scores(model: Hmm):
 
 def score(docs: DataFrame, rounds: int = ROUNDS, states: int = STATES, known: int = KNOWN) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row; logs have base 10."""
-    rows = keyed(docs).select("_k1", "_k2", F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
+    rows = keyed(docs).select("__k1", "__k2", F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
     counts = store(word_counts(rows.where("NOT held_out")), "op7-counts")
     words = vocabulary(counts, known=known)
     coded = store(arrow(rows, _encode(words), _CODED), "op7-symbols")
@@ -329,12 +329,12 @@ def score(docs: DataFrame, rounds: int = ROUNDS, states: int = STATES, known: in
     for _ in range(rounds):
         model = train_round(coded.where("NOT held_out"), model)
     first = arrow(coded.drop("rest"), _scores(model), _CODED.split(", symbols")[0] + ", forward double")
-    per_text = first.groupBy("_k1", "_k2").agg(
+    per_text = first.groupBy("__k1", "__k2").agg(
         F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base", "share", "forward")])
-    far = coded.select("_k1", "_k2", F.explode("rest").alias("x")).select("_k1", "_k2", "x.w", "x.n")
+    far = coded.select("__k1", "__k2", F.explode("rest").alias("x")).select("__k1", "__k2", "x.w", "x.n")
     far = far.join(counts.select("w", F.col("n").alias("c")), "w")
-    far = far.groupBy("_k1", "_k2").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("logs"), F.sum("n").alias("more"))
-    both = per_text.join(far, ["_k1", "_k2"], "left")
+    far = far.groupBy("__k1", "__k2").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("logs"), F.sum("n").alias("more"))
+    both = per_text.join(far, ["__k1", "__k2"], "left")
     logs = F.coalesce(F.col("logs") / F.col("copies"), F.lit(0.0))
     more = F.coalesce(F.col("more") / F.col("copies"), F.lit(0.0)).cast("long")
     return both.select(

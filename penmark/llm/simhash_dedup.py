@@ -60,16 +60,16 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``_k1, _k2, doc_id, fp``: the key and the 64-bit fingerprint (signed) of every row."""
+    """``__k1, __k2, doc_id, fp``: the key and the 64-bit fingerprint (signed) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
             found = [fingerprint(t, words) for t in utf8(batch.column("text"))]
-            own = [batch.column(c) for c in ("_k1", "_k2", "doc_id")]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(found, pa.int64())], names=["_k1", "_k2", "doc_id", "fp"])
+            own = [batch.column(c) for c in ("__k1", "__k2", "doc_id")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(found, pa.int64())], names=["__k1", "__k2", "doc_id", "fp"])
 
-    rows = keyed(docs).select("_k1", "_k2", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return arrow(rows, run, "_k1 long, _k2 long, doc_id long, fp long")
+    rows = keyed(docs).select("__k1", "__k2", F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return arrow(rows, run, "__k1 long, __k2 long, doc_id long, fp long")
 
 
 def _grid_points(segments: int = SEGMENTS) -> Column:
@@ -104,24 +104,24 @@ def _signed(x: int) -> int:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``_k1, _k2, doc_id, fp, component_id`` for every row: the smallest ``doc_id`` reachable over links of two bits or fewer, and
+    """``__k1, __k2, doc_id, fp, component_id`` for every row: the smallest ``doc_id`` reachable over links of two bits or fewer, and
     ``stays``: whether the row's key is the smallest of its component."""
     rows = store(fingerprints(docs, words), "op10-fingerprints")
-    classes = store(rows.groupBy("fp").agg(F.min(F.struct("_k1", "_k2", "doc_id")).alias("first")), "op10-classes")
+    classes = store(rows.groupBy("fp").agg(F.min(F.struct("__k1", "__k2", "doc_id")).alias("first")), "op10-classes")
     joined = components(links(classes.select("fp")))
     root = classes.join(joined.select(F.col("a").alias("fp"), F.col("b").alias("_root")), "fp", "left").select(
         "fp", F.coalesce("_root", "fp").alias("_root"), "first"
     )
     named = root.groupBy("_root").agg(F.min("first").alias("first"))
     of_class = store(root.select("fp", "_root").join(named, "_root").select("fp", "first"), "op10-names")
-    stays = (F.col("_k1") == F.col("first._k1")) & (F.col("_k2") == F.col("first._k2"))
+    stays = (F.col("__k1") == F.col("first.__k1")) & (F.col("__k2") == F.col("first.__k2"))
     return rows.join(of_class, "fp").select(
-        "_k1", "_k2", "doc_id", "fp", F.col("first.doc_id").alias("component_id"), stays.alias("stays")
+        "__k1", "__k2", "doc_id", "fp", F.col("first.doc_id").alias("component_id"), stays.alias("stays")
     )
 
 
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """One row of every component (the smallest ``doc_id``; among rows equal in id and text any), with all columns of ``docs``."""
-    kept = near_duplicates(docs, words).where("stays").select("_k1", "_k2").distinct()
-    rows = keyed(docs).join(kept, ["_k1", "_k2"], "left_semi")
-    return rows.dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    kept = near_duplicates(docs, words).where("stays").select("__k1", "__k2").distinct()
+    rows = keyed(docs).join(kept, ["__k1", "__k2"], "left_semi")
+    return rows.dropDuplicates(["__k1", "__k2"]).select(*docs.columns)

@@ -30,13 +30,13 @@ from penmark.llm.common import (
 )
 
 SIZE, GRAM, BLOCK = 400, 128, 16
-KEY = ["_k1", "_k2"]
-_GROUP = "_k1 long, _k2 long, lo long, n int, off int, gram long, c1 long, c2 long"
-_SLICE = "_k1 long, _k2 long, lo long, n int, off int, gram long, weight int, bytes binary"
+KEY = ["__k1", "__k2"]
+_GROUP = "__k1 long, __k2 long, lo long, n int, off int, gram long, c1 long, c2 long"
+_SLICE = "__k1 long, __k2 long, lo long, n int, off int, gram long, weight int, bytes binary"
 _SLICE_ARROW = pa.schema([(c, pa.binary() if t == "binary" else pa.int32() if t == "int" else pa.int64())
                           for c, t in (x.split() for x in _SLICE.split(", "))])
-_BLOCK = "_k1 long, _k2 long, lo long, step int, many int, weight int, core long, full long"
-_WINDOW = "_k1 long, _k2 long, at long, weight int, core long, window long"
+_BLOCK = "__k1 long, __k2 long, lo long, step int, many int, weight int, core long, full long"
+_WINDOW = "__k1 long, __k2 long, at long, weight int, core long, window long"
 
 
 def _groups(size: int, gram: int):
@@ -55,7 +55,7 @@ def _groups(size: int, gram: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (k1[row], k2[row], lo, g["n"].astype(np.int32), g["off"].astype(np.int32),
                                            g["gram"], g["c1"], g["c2"])],
-                    names=["_k1", "_k2", "lo", "n", "off", "gram", "c1", "c2"],
+                    names=["__k1", "__k2", "lo", "n", "off", "gram", "c1", "c2"],
                 )
 
     return run
@@ -113,7 +113,7 @@ def _blocks(size: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (k1[g], k2[g], lo[g], first.astype(np.int32), many.astype(np.int32),
                                        weight[g].astype(np.int32), core.view(np.int64), full.view(np.int64))],
-                names=["_k1", "_k2", "lo", "step", "many", "weight", "core", "full"],
+                names=["__k1", "__k2", "lo", "step", "many", "weight", "core", "full"],
             )
 
     return run
@@ -134,17 +134,18 @@ def _windows(size: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (k1[g], k2[g], lo[g] + step, weight[own].astype(np.int32), core[own],
                                        roll.of(at, at + size).view(np.int64))],
-                names=["_k1", "_k2", "at", "weight", "core", "window"],
+                names=["__k1", "__k2", "at", "weight", "core", "window"],
             )
 
     return run
 
 
 def repeated_starts(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """``_k1, _k2, lo, hi``: runs of starts of repeated windows of ``size`` bytes (runs may touch, or come twice)."""
+    """``__k1, __k2, lo, hi``: runs of starts of repeated windows of ``size`` bytes (runs may touch, or come twice)."""
     texts = keyed(docs).select(*KEY, "text").where(F.octet_length("text") >= size)
     groups = arrow(texts, _groups(size, gram), _GROUP)
     shared = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("gram")
+    shared = store(shared, "op2-shared")  # a plain table, so that Spark can split the join where a bucket is hot
     groups = store(groups.join(shared, "gram", "left_semi"), "op2-groups")
     identity = ["gram", "c1", "c2"]
     contexts = groups.groupBy(*identity).agg(

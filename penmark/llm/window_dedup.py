@@ -36,9 +36,9 @@ from penmark.llm.common import (
 SIZE, GRAM = 50, 20
 BITS, DEPTH = 24, 3
 _BLOCK = 1 << 16  # cells of a block of the sketch
-KEY = ["_k1", "_k2"]
+KEY = ["__k1", "__k2"]
 CONTEXT = ["gram", "c1", "c2"]
-_GROUP = "_k1 long, _k2 long, lo long, n int, off int, gram long, c1 long, c2 long"
+_GROUP = "__k1 long, __k2 long, lo long, n int, off int, gram long, c1 long, c2 long"
 
 
 def _anchors(batch: pa.RecordBatch, size: int, gram: int) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray]]]:
@@ -123,7 +123,7 @@ def _candidates(size: int, gram: int, bits: int, depth: int, sketch: Broadcast):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (k1[row], k2[row], g["lo"], g["n"].astype(np.int32), g["off"].astype(np.int32),
                                            g["gram"], g["c1"], g["c2"])],
-                    names=["_k1", "_k2", "lo", "n", "off", *CONTEXT],
+                    names=["__k1", "__k2", "lo", "n", "off", *CONTEXT],
                 )
 
     return run
@@ -137,7 +137,7 @@ def _windows(size: int):
             symbols, counts = words_of(utf8(batch.column("text")))
             begin = np.cumsum(counts) - counts
             rows, found = [], []
-            for start, first, groups in zip(begin, batch.column("_k1").to_pylist(), batch.column("groups").to_pylist()):
+            for start, first, groups in zip(begin, batch.column("__k1").to_pylist(), batch.column("groups").to_pylist()):
                 for g in groups:
                     at = start + g["lo"]
                     roll = rolling(symbols[at : at + g["n"] - 1 + size])
@@ -154,14 +154,15 @@ def _windows(size: int):
 
 
 def repeated_starts(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: int = BITS, depth: int = DEPTH) -> DataFrame:
-    """``_k1, _k2, lo, hi``: runs of window starts (in words) whose windows also start in a document with a smaller id."""
+    """``__k1, __k2, lo, hi``: runs of window starts (in words) whose windows also start in a document with a smaller id."""
     texts = keyed(docs).select(*KEY, "text").where(F.octet_length("text") >= 2 * size - 1)
     sketch = merged_sketch(texts, size, gram, bits, depth)
     groups = store(arrow(texts, _candidates(size, gram, bits, depth, sketch), _GROUP), "op8-groups")
     contexts = store(groups.groupBy(*CONTEXT).agg(F.min(F.struct(*KEY, "lo", "n", "off")).alias("first")), "op8-contexts")
     mixed = (
-        contexts.groupBy("gram").agg(F.min("first._k1").alias("a"), F.max("first._k1").alias("b")).where("a < b").select("gram")
+        contexts.groupBy("gram").agg(F.min("first.__k1").alias("a"), F.max("first.__k1").alias("b")).where("a < b").select("gram")
     )
+    mixed = store(mixed, "op8-mixed")  # a plain table, so that Spark can split the join where a bucket is hot
     open_groups = contexts.join(mixed, "gram", "left_semi").select("first.*", *CONTEXT).groupBy(*KEY).agg(
         F.collect_list(F.struct("lo", "n", "off", *CONTEXT)).alias("groups")
     )
@@ -171,14 +172,15 @@ def repeated_starts(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: i
         arrow(reps, _windows(size), "first long, gram long, c1 long, c2 long, windows array<long>"), "op8-windows"
     ).select("first", *CONTEXT, F.posexplode("windows").alias("step", "window"))
     earliest = windows.groupBy("gram", "window").agg(F.min("first").alias("a"), F.max("first").alias("b")).where("a < b")
+    earliest = store(earliest, "op8-earliest")
     partial = (
         windows.join(earliest.select("gram", "window", "a"), ["gram", "window"]).where("a < first")
         .groupBy(*CONTEXT).agg(F.collect_set("step").alias("steps"))
     )
-    marked = groups.join(contexts.select(*CONTEXT, F.col("first._k1").alias("first")), CONTEXT)
+    marked = groups.join(contexts.select(*CONTEXT, F.col("first.__k1").alias("first")), CONTEXT)
     last = F.col("lo") + F.col("n") - 1
-    whole = marked.where("_k1 > first").select(*KEY, "lo", last.alias("hi"))
-    some = marked.where("_k1 = first").join(partial, CONTEXT).select(*KEY, "lo", F.explode("steps").alias("step"))
+    whole = marked.where("__k1 > first").select(*KEY, "lo", last.alias("hi"))
+    some = marked.where("__k1 = first").join(partial, CONTEXT).select(*KEY, "lo", F.explode("steps").alias("step"))
     at = F.col("lo") + F.col("step")
     return whole.unionByName(some.select(*KEY, at.alias("lo"), at.alias("hi")))
 
@@ -189,7 +191,7 @@ def _cut(size: int, rewrite: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
             out = []
-            for text, runs in zip(utf8(batch.column("text")), batch.column("runs").to_pylist()):
+            for text, runs in zip(utf8(batch.column("text")), batch.column("__runs").to_pylist()):
                 words = text.split()
                 spans: list[list[int]] = []
                 for lo, hi in sorted((r["lo"], r["hi"] + size) for r in runs or ()):
@@ -203,15 +205,15 @@ def _cut(size: int, rewrite: bool = False):
             n, removed, spans, kept = zip(*out)
             if rewrite:
                 text = [t if not gone else k.decode() for t, gone, k in zip(batch.column("text").to_pylist(), removed, kept)]
-                columns = {k: batch.column(k) for k in batch.schema.names if k != "runs"} | {"text": pa.array(text, pa.string())}
+                columns = {k: batch.column(k) for k in batch.schema.names if k != "__runs"} | {"text": pa.array(text, pa.string())}
                 rest = pa.array([not gone or bool(k) for gone, k in zip(removed, kept)])
                 yield pa.RecordBatch.from_pydict(columns).filter(rest)
                 continue
-            given = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "runs")]
+            given = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "__runs")]
             yield pa.RecordBatch.from_arrays(
                 [*given, pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
-                names=[*(x for x in batch.schema.names if x not in ("text", "runs")), "n_words", "n_removed", "spans", "kept"],
+                names=[*(x for x in batch.schema.names if x not in ("text", "__runs")), "n_words", "n_removed", "spans", "kept"],
             )
 
     return run
@@ -219,14 +221,14 @@ def _cut(size: int, rewrite: bool = False):
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: int = BITS, depth: int = DEPTH) -> DataFrame:
     """``doc_id, n_words, n_removed, spans`` (removed runs of words) and ``kept`` (UTF-8 of the kept words, one space between)."""
-    runs = repeated_starts(docs, size, gram, bits, depth).groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    runs = repeated_starts(docs, size, gram, bits, depth).groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("__runs"))
     rows = keyed(docs).select(*KEY, F.col("doc_id").cast("long").alias("doc_id"), "text").join(runs, KEY, "left")
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
-    return arrow(rows.select("doc_id", "text", "runs"), _cut(size), schema)
+    return arrow(rows.select("doc_id", "text", "__runs"), _cut(size), schema)
 
 
 def rewrite(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: int = BITS, depth: int = DEPTH) -> DataFrame:
     """``docs`` with the repeated words cut from ``text`` (other texts unchanged, byte for byte). Rows of which nothing stays are left out."""
-    runs = repeated_starts(docs, size, gram, bits, depth).groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    rows = keyed(docs).join(runs, KEY, "left").select(*docs.columns, "runs")
+    runs = repeated_starts(docs, size, gram, bits, depth).groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("__runs"))
+    rows = keyed(docs).join(runs, KEY, "left").select(*docs.columns, "__runs")
     return arrow(rows, _cut(size, rewrite=True), docs.schema)

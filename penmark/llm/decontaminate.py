@@ -25,6 +25,7 @@ from penmark.llm.common import keyed, store
 WORDS, THRESHOLD, RADIUS = 5, 0.8, 15
 MAP_BITS = 22  # of the bit map: half a megabyte
 KEY = ["__k1", "__k2"]
+_NO_ID = -(1 << 63)  # stands for a null item_id while items are joined
 
 
 def _words(text: Column) -> Column:
@@ -69,7 +70,7 @@ def weighted_jaccard(a: Column, b: Column) -> Column:
 
 
 def _items(benchmark: DataFrame, words: int) -> DataFrame:
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(_NO_ID)).alias("item_id"), _words(F.col("text")).alias("w")).where(F.size("w") > 0)
     rows = rows.withColumns({"n": F.size("w"), "k": F.least(F.size("w"), F.lit(words))})
     return rows.select("item_id", "n", "k", _shingles(F.col("w"), F.col("k")).alias("shingles"))
 
@@ -118,7 +119,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     pairs = pairs.join(marked.select("item_id", "n", F.col("shingles").alias("item")).distinct(), ["item_id", "n"])
     found = pairs.withColumn("similarity", weighted_jaccard(F.col("shingles"), F.col("item"))).where(F.col("similarity") >= threshold)
     best = F.max_by(F.struct("start", F.col("n").alias("n_words"), "hamming", "similarity"), F.struct("similarity", -F.col("start")))
-    return found.groupBy(*KEY, "item_id").agg(best.alias("_x")).select(*KEY, "item_id", "_x.*")
+    return found.groupBy(*KEY, "item_id").agg(best.alias("_x")).select(
+        *KEY, F.nullif(F.col("item_id"), F.lit(_NO_ID)).alias("item_id"), "_x.*")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 from pathlib import Path
 
@@ -31,7 +32,7 @@ def main() -> None:
     names = list(QUERIES) if os.environ.get("BENCH_ALL") else HEADLINE
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
-        spark__driver__memory="16g",
+        spark__driver__memory="16g", spark__checkpoint__dir=tempfile.mkdtemp(prefix="penmark-"),
     )
     spark.sparkContext.setLogLevel("OFF")
     for name in ("clean_text", "dedup_keep_first"):  # start the engine, untimed

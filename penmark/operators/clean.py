@@ -55,11 +55,8 @@ def clean_corpus(main: DataFrame, **switches: bool) -> DataFrame:
     """The whole cleaning of a main table (``text``, ``label``, ``text_id``).
 
     De-duplication looks at the raw text, so texts made equal or empty by cleaning stay.
-    Asking for a non-null ``text_id`` keeps both users of the de-duplicated table (the
-    character set and the rows) on the same columns, so they share one shuffle.
+    A null ``text_id`` is kept like any other.
     """
     first = main.transform(drop_null_text).transform(keep_first, ["text"], "text_id")
-    cleaned = first.where(F.col("text_id").isNotNull()).withColumn(
-        "text", clean_text(F.col("text"), **switches)
-    )
+    cleaned = first.withColumn("text", clean_text(F.col("text"), **switches))
     return cleaned.transform(known_classes).transform(strip_generated_only)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from penmark.functions.ids import GENERATED_SOURCE, POST_SOURCE, canonical_id
 from penmark.functions.text import strip_ws
 from penmark.operators.dedup import keep_first
-from penmark.operators.positions import chunk_of, dense_ids
+from penmark.operators.positions import chunk_of, chunk_or_any, dense_ids
 
 HUMAN, GENERATED = 0, 1
 
@@ -75,14 +75,14 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
 def placed(df: DataFrame) -> DataFrame:
     """``text`` and ``label`` with their place in the source.
 
-    Rows read from text files are placed by file and row (``src_file``, ``src_row``); a
-    file that one task reads is one chunk. Other rows are placed by their unique ``pos``.
+    Rows read from text files are placed by file and row (``src_file``, ``src_row``). Other
+    rows are placed by their unique ``pos``; rows without one come first.
     """
     if "src_file" in df.columns:
-        return df.select("text", "label", "src_file", "src_row", F.lit(0).cast("bigint").alias("src_chunk"))
+        return df.select("text", "label", "src_file", "src_row", chunk_of(F.col("src_row")).alias("src_chunk"))
     return df.select(
         "text", "label", F.lit("").alias("src_file"), F.col("pos").alias("src_row"),
-        chunk_of(F.col("pos")).alias("src_chunk"),
+        chunk_or_any(chunk_of(F.col("pos")), ["text", "label"]).alias("src_chunk"),
     )
 
 

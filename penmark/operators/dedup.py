@@ -13,12 +13,12 @@ def keep_first(df: DataFrame, by: list[str], order: str) -> DataFrame:
     An aggregation rather than a window, so copies collapse before the shuffle and a
     text that fills a third of the table costs one row per task. While the other columns
     have a fixed width the aggregate is hash based; a wider row travels as one struct.
+    A null ``order`` comes last; among rows with equal order a hash of the row decides, so
+    the kept values always come from one row.
     """
     rest = [f for f in df.schema.fields if f.name not in by and f.name != order]
-    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in rest):
-        picked = [F.min_by(f.name, order).alias(f.name) for f in rest]
-        kept = df.groupBy(*by).agg(F.min(order).alias(order), *picked)
-    else:
-        row = F.struct(order, *[f.name for f in rest])
-        kept = df.groupBy(*by).agg(F.min_by(row, F.col(order)).alias("_row")).select(*by, "_row.*")
+    tie = F.xxhash64(*[f.name for f in rest]) if rest else F.lit(0)
+    place = F.struct(F.col(order).isNull(), F.col(order), tie)
+    row = F.struct(order, *[f.name for f in rest])
+    kept = df.groupBy(*by).agg(F.min_by(row, place).alias("_row")).select(*by, "_row.*")
     return kept.select(*df.columns)

@@ -30,35 +30,35 @@ def word2vec(dims: int, min_count: int, epochs: int, seed: int = SEED, parts: in
 
 
 def train_word_vectors(
-    df: DataFrame, dims: int = 32, min_count: int = 5, epochs: int = 1, seed: int = SEED
+    df: DataFrame, dims: int = 32, min_count: int = 5, epochs: int = 1, seed: int = SEED, parts: int = 8
 ) -> Word2VecModel:
     """Word vectors of a token table; refuses a vocabulary Spark ML cannot hold."""
     words = one_per_item(df, [], "tokens", "word").groupBy("word").count()
     kept = words.where(F.col("count") >= min_count).count()
     if kept * dims > MAX_VECTOR_CELLS:
         raise ValueError(f"{kept} words of {dims} dimensions are too many: raise min_count")
-    return word2vec(dims, min_count, epochs, seed).fit(df)
+    return word2vec(dims, min_count, epochs, seed, parts).fit(df)
 
 
-def _tfidf_lr(epochs: int, step: float, seed: int) -> Pipeline:
-    # Hashing needs no vocabulary, so the driver holds 2**18 weights whatever the corpus.
+def _tfidf_lr(epochs: int, step: float, seed: int, slots: int, parts: int) -> Pipeline:
+    # Hashing needs no vocabulary, so the driver holds ``slots`` weights whatever the corpus.
     return Pipeline(stages=[
-        HashingTF(inputCol="tokens", outputCol="counts", numFeatures=2**18),
+        HashingTF(inputCol="tokens", outputCol="counts", numFeatures=slots),
         IDF(inputCol="counts", outputCol="features"),
         LogisticRegression(labelCol=TARGET, maxIter=epochs, regParam=step),
     ])
 
 
-def _w2v_lr(epochs: int, step: float, seed: int) -> Pipeline:
+def _w2v_lr(epochs: int, step: float, seed: int, slots: int, parts: int) -> Pipeline:
     return Pipeline(stages=[
-        word2vec(32, 5, 1, seed),
+        word2vec(32, 5, 1, seed, parts),
         LogisticRegression(labelCol=TARGET, maxIter=epochs, regParam=step),
     ])
 
 
-def _w2v_mlp(epochs: int, step: float, seed: int) -> Pipeline:
+def _w2v_mlp(epochs: int, step: float, seed: int, slots: int, parts: int) -> Pipeline:
     return Pipeline(stages=[
-        word2vec(32, 5, 1, seed),
+        word2vec(32, 5, 1, seed, parts),
         MultilayerPerceptronClassifier(
             labelCol=TARGET, layers=[32, 16, 2], maxIter=epochs, stepSize=step, solver="gd", seed=seed
         ),
@@ -68,12 +68,15 @@ def _w2v_mlp(epochs: int, step: float, seed: int) -> Pipeline:
 FAMILIES = {"tfidf_lr": _tfidf_lr, "w2v_lr": _w2v_lr, "w2v_mlp": _w2v_mlp}
 
 
-def classifier(family: str, epochs: int = 10, step: float = 1e-2, seed: int = SEED) -> Pipeline:
+def classifier(
+    family: str, epochs: int = 10, step: float = 1e-2, seed: int = SEED, slots: int = 2**18, parts: int = 8
+) -> Pipeline:
     """An unfitted text classifier. ``step`` is the penalty of the regressions and the
-    learning rate of the network."""
+    learning rate of the network; ``slots`` the hash slots of words; ``parts`` the tasks
+    that train word vectors. Raise both for a large corpus."""
     if family not in FAMILIES:
         raise ValueError(f"unknown model family {family!r}; one of {sorted(FAMILIES)}")
-    return FAMILIES[family](epochs, step, seed)
+    return FAMILIES[family](epochs, step, seed, slots, parts)
 
 
 def fit(df: DataFrame, family: str, **settings) -> Model:

@@ -25,7 +25,11 @@ def with_learning_rate(history: DataFrame, start: float = LEARNING_RATE) -> Data
 
 
 def best_checkpoints(history: DataFrame) -> DataFrame:
-    """Epochs that beat every earlier one of their run, with whether each is the last such."""
+    """Epochs that beat every earlier one of their run, with whether each is the last such.
+
+    An accuracy that is no number counts as 0.
+    """
+    history = history.withColumn("val_acc", F.nanvl(F.col("val_acc").cast("double"), F.lit(0.0)))
     run = Window.partitionBy("run").orderBy("epoch")
     before = F.max("val_acc").over(run.rowsBetween(Window.unboundedPreceding, -1))
     kept = history.withColumn("_before", F.coalesce(before, F.lit(0.0))).where("val_acc > _before")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from penmark.functions.ids import SEED, seeded_hash
@@ -17,6 +19,18 @@ def chunk_of(position: Column, bits: int = CHUNK_BITS) -> Column:
     return F.shiftright(position, bits)
 
 
+def chunk_or_any(chunk: Column, columns: list[str]) -> Column:
+    """``chunk``, or where it is null one of 65,536 chunks before all others, by a hash of the row."""
+    return F.coalesce(chunk.cast("bigint"), -1 - F.pmod(F.xxhash64(*columns), F.lit(1 << CHUNK_BITS)))
+
+
+def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which null keys meet each other; columns of ``left``, then the others of ``right``."""
+    named = right.select(*[F.col(k).alias(f"_right_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(named, same).drop(*[f"_right_{k}" for k in keys])
+
+
 def _before(by: list[str], order: list[str]) -> Column:
     """Running sum of ``_n`` over the earlier rows."""
     window = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
@@ -36,13 +50,14 @@ def _first_of_each(sizes: DataFrame, keys: list[str]) -> DataFrame:
     totals = grouped.groupBy(*by).agg(F.sum("_n").alias("_n"))
     starts = totals.select(*by, _before([], by).alias("_start"))
     inside = grouped.select(*by, last, _before(by, [last]).alias("_inside"))
-    return inside.join(starts, by).select(*keys, (F.col("_start") + F.col("_inside")).alias("_first"))
+    return _join(inside, starts, by).select(*keys, (F.col("_start") + F.col("_inside")).alias("_first"))
 
 
 def dense_ids(df: DataFrame, order: list[str], chunk: list[str], name: str) -> DataFrame:
     """Ids 0..n-1 in the order of (``chunk``, ``order``).
 
-    ``chunk`` must be a non-null coarse prefix of the order, its last column an integer,
+    No row is lost: nulls are values of their own and come first.
+    ``chunk`` must be a coarse prefix of the order, its last column an integer,
     with a bounded number of rows in each value (a file, ``chunk_of(position)`` of unique
     positions, the head of a hash). Rows are numbered
     inside their chunk and shifted by the size of the chunks before; both the numbering
@@ -53,7 +68,7 @@ def dense_ids(df: DataFrame, order: list[str], chunk: list[str], name: str) -> D
     inside = Window.partitionBy(*chunk).orderBy(*order)
     numbered = df.withColumn("_at", F.row_number().over(inside))
     return (
-        numbered.join(first, chunk)
+        _join(numbered, first, chunk)
         .withColumn(name, F.col("_first") + F.col("_at") - 1)
         .drop("_at", "_first")
     )
@@ -80,8 +95,8 @@ def positions(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 
 def batches(df: DataFrame, key: str, size: int) -> DataFrame:
-    """``batch_id`` for batches of ``size`` rows in the order of an integer key."""
-    placed = df.withColumn("_chunk", chunk_of(F.col(key)))
+    """``batch_id`` for batches of ``size`` rows in the order of an integer key, null keys first."""
+    placed = df.withColumn("_chunk", chunk_or_any(chunk_of(F.col(key)), df.columns))
     numbered = dense_ids(placed, [key], ["_chunk"], "_id").drop("_chunk")
     return numbered.withColumn("batch_id", F.floor(F.col("_id") / size)).drop("_id")
 
@@ -92,5 +107,6 @@ def seeded_order(df: DataFrame, key: str, name: str, seed: int = SEED) -> DataFr
     The first four hex digits give 65,536 even chunks whatever the keys look like.
     """
     hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed))
-    placed = hashed.withColumn("_chunk", F.conv(F.substring("_hash", 1, 4), 16, 10).cast("bigint"))
+    head = F.conv(F.substring("_hash", 1, 4), 16, 10)
+    placed = hashed.withColumn("_chunk", chunk_or_any(head, df.columns))
     return dense_ids(placed, ["_hash"], ["_chunk"], name).drop("_chunk", "_hash")

@@ -42,10 +42,18 @@ def best(models: DataFrame) -> DataFrame:
     return models.orderBy(*best_first()).limit(1)
 
 
-def mark_current(models: DataFrame, current: str) -> DataFrame:
+def mark_current(models: DataFrame, current: str | Column) -> DataFrame:
+    """``current`` is a path, or a scalar subquery that gives one."""
     return models.withColumn("is_current", F.col("path").eqNullSafe(F.lit(current)))
 
 
+def find_models(models: DataFrame, wanted: DataFrame, path: str = "path") -> DataFrame:
+    """Every wanted path with its model; a path that is not in the catalogue has an ``error``."""
+    found = wanted.select(F.col(path).alias("path")).join(models.withColumn("_known", F.lit(True)), "path", "left")
+    missing = F.when(F.col("_known").isNull(), F.concat(F.lit("Model not found: "), "path"))
+    return found.withColumn("error", missing).drop("_known")
+
+
 def listing(models: DataFrame) -> DataFrame:
     """The summary line and the menu entry of each model."""
     size = F.col("size_mb").cast("string")

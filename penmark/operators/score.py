@@ -94,8 +94,8 @@ def linear_scores(df: DataFrame, features: str, weights: list[list[float]], bias
 
 
 def accuracy(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Correct, total and their ratio; no rows give a null ratio."""
-    hit = (F.col("prediction") == F.col("target")).cast("int")
+    """Correct, total and their ratio; a missing prediction is wrong, no rows give a null ratio."""
+    hit = F.coalesce((F.col("prediction") == F.col("target")).cast("int"), F.lit(0))
     return df.groupBy(*(by or [])).agg(
         F.coalesce(F.sum(hit), F.lit(0)).alias("correct"),
         F.count(F.lit(1)).alias("total"),

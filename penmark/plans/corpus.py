@@ -107,15 +107,15 @@ def main_sources(spark, sf_dir):
     return [
         c.placed(c.curate_posts(v.raw_posts(spark, sf_dir))),
         c.placed(c.curate_generated(v.raw_generated(spark, sf_dir))),
-        c.placed(v.human_corpus(spark, sf_dir)),
+        c.placed(v.user_turns(spark, sf_dir)),
         c.placed(v.labelled_corpus(spark, sf_dir)),
     ]
 
 
 @query("main_union", with_views("""
     SELECT text, label, 0 AS src_ord FROM posts UNION ALL SELECT text, label, 1 FROM generated
-    UNION ALL SELECT text, label, 2 FROM human_corpus UNION ALL SELECT text, label, 3 FROM labelled_corpus""",
-    "posts", "generated", "human_corpus", "labelled_corpus"))
+    UNION ALL SELECT text, label, 2 FROM user_turns UNION ALL SELECT text, label, 3 FROM labelled_corpus""",
+    "posts", "generated", "user_turns", "labelled_corpus"))
 def main_union(spark, sf_dir):
     return c.union_sources(main_sources(spark, sf_dir)).select("text", "label", "src_ord")
 
@@ -144,7 +144,7 @@ def main_build(spark, sf_dir):
 
 PREPARED = f"""
     , first_rows AS (SELECT text_id, label, {cleaned('text')} AS text FROM (
-        SELECT *, row_number() OVER (PARTITION BY text ORDER BY text_id) AS rn FROM main WHERE text IS NOT NULL)
+        SELECT *, row_number() OVER (PARTITION BY text ORDER BY text_id) AS rn FROM whole_main WHERE text IS NOT NULL)
         WHERE rn = 1 AND label IN (0, 1)),
     chars AS (SELECT DISTINCT label, unnest(string_split(text, '')) AS ch FROM first_rows),
     unwanted AS (SELECT coalesce(string_agg(ch, ''), '') AS s FROM chars
@@ -153,7 +153,7 @@ PREPARED = f"""
            CASE WHEN label = 1 THEN translate(text, (SELECT s FROM unwanted), '') ELSE text END AS text FROM first_rows"""
 
 
-@query("prepare_data", with_views("", "main").rstrip() + PREPARED)
+@query("prepare_data", with_views("", "whole_main").rstrip() + PREPARED)
 def prepare_data(spark, sf_dir):
     """Curate, merge and clean: from raw records to the table to train on.
 
@@ -165,7 +165,7 @@ def prepare_data(spark, sf_dir):
     sources = [
         c.placed(r.read_curated(spark, posts)),
         c.placed(r.read_curated(spark, made)),
-        c.placed(v.human_corpus(spark, sf_dir)),
+        c.placed(v.user_turns(spark, sf_dir)),
         c.placed(v.labelled_corpus(spark, sf_dir)),
     ]
     main, _ = k.write_curated(c.merge_main(sources), root, "main")

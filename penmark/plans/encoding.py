@@ -13,16 +13,16 @@ from penmark.plans.registry import query, rounded, shown
 from penmark.plans.sql import encoded, rounded as sql_rounded, with_views, words
 from penmark.session import materialise
 
-MIN_COUNT = 5  # words rarer than this stay out of the vocabulary
+MIN_COUNT = 1  # the queries encode with all words
 DIMS = 64  # of the given embeddings
 
 
-def vocab5(spark, sf_dir):
+def full_vocab(spark, sf_dir):
     return e.build_vocab(v.tokens(spark, sf_dir), min_count=MIN_COUNT)
 
 
 def encoded_tokens(spark, sf_dir):
-    return e.encode(v.tokens(spark, sf_dir), vocab5(spark, sf_dir), ["text_id", "label"])
+    return e.encode(v.tokens(spark, sf_dir), full_vocab(spark, sf_dir), ["text_id", "label"])
 
 
 @query("parse_token_list", with_views(
@@ -48,14 +48,20 @@ def alpha_tokens(spark, sf_dir):
     return rows.select("text_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").alias("n"))
 
 
+@query("vocab_min_count", with_views("SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS idx FROM vocab WHERE n >= 5", "vocab"))
+def vocab_min_count(spark, sf_dir):
+    """A vocabulary without words that occur fewer than five times."""
+    return e.build_vocab(v.tokens(spark, sf_dir), min_count=5).select("word", "idx")
+
+
 @query("build_vocab", with_views("SELECT word, n, idx FROM vocab", "vocab"))
 def build_vocab(spark, sf_dir):
     return e.build_vocab(v.tokens(spark, sf_dir))
 
 
-@query("vocab_size", with_views("SELECT count(*) + 1 AS vocab_size FROM vocab5", "vocab5"))
+@query("vocab_size", with_views("SELECT count(*) + 1 AS vocab_size FROM full_vocab", "full_vocab"))
 def vocab_size(spark, sf_dir):
-    return e.vocab_size(vocab5(spark, sf_dir))
+    return e.vocab_size(full_vocab(spark, sf_dir))
 
 
 _ENCODED = "SELECT text_id, label, array_to_string(ids, ',') AS ids FROM encoded"
@@ -74,15 +80,15 @@ def vocab_encode(spark, sf_dir):
     "SELECT text_id, 1 - label AS human_wrote, array_to_string(ids, ',') AS ids FROM encoded", "encoded"))
 def encode_train(spark, sf_dir):
     rows = v.list_literals(spark, sf_dir)
-    return _shown_ids(e.encode_for_training(rows, vocab5(spark, sf_dir), ["text_id", "human_wrote"]))
+    return _shown_ids(e.encode_for_training(rows, full_vocab(spark, sf_dir), ["text_id", "human_wrote"]))
 
 
-@query("encode_serve", with_views("", "turns", "vocab5").rstrip() + f"""
+@query("encode_serve", with_views("", "turns", "full_vocab").rstrip() + f"""
     , served AS (SELECT text_id, {words('text')} AS tokens FROM turns),
-    enc AS ({encoded('served', 'vocab5', 'text_id')})
+    enc AS ({encoded('served', 'full_vocab', 'text_id')})
     SELECT text_id, array_to_string(ids, ',') AS ids FROM enc""")
 def encode_serve(spark, sf_dir):
-    return _shown_ids(e.encode_for_serving(v.turns(spark, sf_dir), vocab5(spark, sf_dir), ["text_id"]))
+    return _shown_ids(e.encode_for_serving(v.turns(spark, sf_dir), full_vocab(spark, sf_dir), ["text_id"]))
 
 
 @query("encode_fixed", with_views("""
@@ -119,20 +125,32 @@ def batch_ids(spark, sf_dir):
     return batches(v.table(spark, sf_dir, "events").select("event_id"), "event_id", 314)
 
 
+def wrapped(rows, vectors):
+    """Known words share the given vectors, by their index modulo the number of vectors."""
+    total = vectors.agg(F.count(F.lit(1)).cast("int")).scalar()
+    turned = F.transform("ids", lambda i: F.when(i > 0, (i - 1) % F.col("_total") + 1).otherwise(i))
+    return rows.withColumn("_total", total).withColumn("ids", turned).drop("_total")
+
+
+WRAPPED = "CASE WHEN idx > 0 THEN (idx - 1) % (SELECT count(*) FROM embeddings) + 1 ELSE 0 END"
+
+
 def turn_ids(spark, sf_dir):
-    """Conversation turns as indexes; those past the given vectors count as unknown."""
+    """Conversation turns as indexes of the given vectors."""
     rows = v.turns(spark, sf_dir).select("text_id", tk.tokenize(F.col("text")).alias("tokens"))
-    return e.encode(rows, vocab5(spark, sf_dir), ["text_id"])
+    ids = e.encode(rows, full_vocab(spark, sf_dir), ["text_id"])
+    return wrapped(ids, v.word_vectors(spark, sf_dir))
 
 
 _TURN_IDS = f"""
     , served AS (SELECT text_id, {words('text')} AS tokens FROM turns),
-    enc AS ({encoded('served', 'vocab5', 'text_id')}),
+    enc AS ({encoded('served', 'full_vocab', 'text_id')}),
     vecs AS (SELECT vec_id + 1 AS idx, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
-    placed AS (SELECT text_id, unnest(ids) AS idx, generate_subscripts(ids, 1) - 1 AS place FROM enc)"""
+    placed AS (SELECT text_id, {WRAPPED} AS idx, place FROM (
+        SELECT text_id, unnest(ids) AS idx, generate_subscripts(ids, 1) - 1 AS place FROM enc))"""
 
 
-@query("embedding_lookup", with_views("", "turns", "vocab5").rstrip() + _TURN_IDS + f"""
+@query("embedding_lookup", with_views("", "turns", "full_vocab").rstrip() + _TURN_IDS + f"""
     SELECT text_id, CAST(place AS INTEGER) AS place, idx, {sql_rounded('coalesce(vec[1], 0)')} AS first_dim,
            {sql_rounded('coalesce(list_sum(vec), 0)')} AS total FROM placed LEFT JOIN vecs USING (idx)""")
 def embedding_lookup(spark, sf_dir):
@@ -146,7 +164,7 @@ MEANS = f"""
                CROSS JOIN (SELECT unnest(range(1, 65)) AS d) GROUP BY text_id, d)"""
 
 
-@query("doc_mean_embedding", with_views("", "turns", "vocab5").rstrip() + _TURN_IDS + MEANS + f"""
+@query("doc_mean_embedding", with_views("", "turns", "full_vocab").rstrip() + _TURN_IDS + MEANS + f"""
     SELECT text_id, CAST(d - 1 AS INTEGER) AS dim, {sql_rounded('mean')} AS mean FROM sums""")
 def doc_mean_embedding(spark, sf_dir):
     means = e.mean_embedding(turn_ids(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id"], DIMS)

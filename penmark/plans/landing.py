@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from penmark import schemas
-from penmark.functions import naming
+from penmark.functions.ids import GENERATED_SOURCE
 from penmark.functions.text import is_blank
 from penmark.operators import curate as c
 from penmark.operators.clean import clean_corpus
@@ -75,6 +75,21 @@ def src_records(spark, sf_dir):
     return r.read_records(spark, path, schemas.RAW_GENERATED).select("text_id", "text", "label", "model", "pos")
 
 
+@query("placed_records", with_views("""
+    SELECT pos, sha1('llm::' || coalesce(given, CAST(pos AS VARCHAR))) AS text_id, text FROM (
+        SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS pos, text,
+               CASE WHEN role <> 'system' THEN conv_id || ':' || turn END AS given FROM conversations)"""))
+def placed_records(spark, sf_dir):
+    """Records without a position get one from their place in the files; it stands in for a missing id."""
+    turns = v.table(spark, sf_dir, "conversations")
+    records = turns.orderBy("conv_id", "turn").select(
+        F.when(F.col("role") != "system", F.concat_ws(":", "conv_id", "turn")).alias("text_id"), "text")
+    path = fresh_dir(spark, "records")
+    records.write.json(path)
+    placed = r.read_placed_records(spark, path, schemas.RAW_GENERATED)
+    return c.assign_canonical_id(placed, GENERATED_SOURCE).select("pos", "text_id", "text")
+
+
 def _landed(spark, sf_dir):
     """Posts by the users of events, with their original ids."""
     return v.raw_posts(spark, sf_dir).where(~is_blank(F.col("text")))
@@ -125,13 +140,6 @@ def generated_records(spark, sf_dir):
     return p.generated_records(runs, "texts", ["doc_id"])
 
 
-@query("model_scan")
-def model_scan(spark, sf_dir):
-    """Lists the table files themselves: names and sizes without reading them."""
-    files = r.scan_model_files(spark, sf_dir, "*.{parquet,pt,pth,pkl,model}")
-    return files.select(naming.base_name(F.col("path")).alias("name"), "size")
-
-
 @query("batch_requests", with_views(f"""
     SELECT request_id, index, text, CASE WHEN length({strip('text')}) = 0 THEN 'Empty text provided' END AS error
     FROM batch_rows""", "batch_rows"))

@@ -69,8 +69,7 @@ CURRENT = "(SELECT path FROM models ORDER BY accuracy DESC, timestamp DESC NULLS
 def registry_current(spark, sf_dir):
     """The current model is the best one, as after start-up."""
     rows = models(spark, sf_dir)
-    current = g.best(rows).first()["path"]
-    return g.mark_current(rows, current).select("path", "is_current")
+    return g.mark_current(rows, g.best(rows).select("path").scalar()).select("path", "is_current")
 
 
 @query("registry_listing", _sql(f"""name,
@@ -80,7 +79,7 @@ def registry_current(spark, sf_dir):
         || CASE WHEN path = {CURRENT} THEN ' [CURRENT]' ELSE '' END AS entry"""))
 def registry_listing(spark, sf_dir):
     rows = models(spark, sf_dir)
-    marked = g.mark_current(rows, g.best(rows).first()["path"])
+    marked = g.mark_current(rows, g.best(rows).select("path").scalar())
     return g.listing(marked).select("name", "line", "entry")
 
 
@@ -95,6 +94,17 @@ def registry_best(spark, sf_dir):
     return g.best(models(spark, sf_dir)).select("path", "accuracy")
 
 
+@query("registry_find", with_views("""
+    SELECT w.path, m.accuracy, CASE WHEN m.path IS NULL THEN 'Model not found: ' || w.path END AS error
+    FROM (SELECT CASE WHEN size % 5 = 0 THEN path || '.bak' ELSE path END AS path FROM model_files) w
+    LEFT JOIN models m ON m.path = w.path""", "models"))
+def registry_find(spark, sf_dir):
+    """Models asked for by path, some of which are gone."""
+    files = v.model_files(spark, sf_dir)
+    wanted = files.select(F.when(F.col("size") % 5 == 0, F.concat("path", F.lit(".bak"))).otherwise(F.col("path")).alias("path"))
+    return g.find_models(models(spark, sf_dir), wanted).select("path", "accuracy", "error")
+
+
 _CHOICES = {
     "accuracy": "coalesce(accuracy, 0) DESC", "time": "timestamp DESC NULLS LAST",
     "name": "name", "size": "coalesce(size_mb, 0) DESC",

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from penmark.operators import encode as e, score as s
 from penmark.plans import views as v
-from penmark.plans.encoding import DIMS, MEANS, vocab5
+from penmark.plans.encoding import DIMS, MEANS, WRAPPED, full_vocab, wrapped
 from penmark.plans.registry import query, rounded, shown_time
 from penmark.plans.scoring import BIASES, SQL_WEIGHTS, WEIGHTS
 from penmark.plans.sql import encoded, rounded as sql_rounded, strip, with_views, words
 from penmark.session import fresh_dir
-from penmark.streaming.curate import curate_stream
+from penmark.streaming.curate import curate_stream, read_curated_stream
 from penmark.streaming.serve import score_stream
 
 
@@ -19,7 +19,7 @@ def linear_text_scorer(vocab, vectors, keys):
     """Texts -> mean word vector -> fixed linear layer."""
 
     def run(rows):
-        ids = e.encode_for_serving(rows, vocab, keys)
+        ids = wrapped(e.encode_for_serving(rows, vocab, keys), vectors)
         means = e.mean_embedding(ids, vectors, keys, DIMS)
         return s.linear_scores(means, "mean", WEIGHTS, BIASES).drop("mean", "z0", "z1")
 
@@ -28,7 +28,7 @@ def linear_text_scorer(vocab, vectors, keys):
 
 _LINEAR = f"""
     vecs AS (SELECT vec_id + 1 AS idx, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
-    placed AS (SELECT text_id, unnest(ids) AS idx FROM enc)
+    placed AS (SELECT text_id, {WRAPPED} AS idx FROM (SELECT text_id, unnest(ids) AS idx FROM enc))
     {MEANS},
     z AS (SELECT text_id, sum(mean * ({SQL_WEIGHTS[0]})[d]) + 0.05::DOUBLE AS z0,
                  sum(mean * ({SQL_WEIGHTS[1]})[d]) - 0.05::DOUBLE AS z1 FROM sums GROUP BY text_id)"""
@@ -37,15 +37,15 @@ _LABEL = "CASE WHEN z1 > z0 THEN 'Human-Written' ELSE 'AI-Generated' END"
 _CONFIDENCE = sql_rounded("1 / (exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z0, z1)))")
 
 
-@query("scored_json", with_views("", "turns", "vocab5").rstrip() + f"""
+@query("scored_json", with_views("", "turns", "full_vocab").rstrip() + f"""
     , good AS (SELECT text_id, text, {words('text')} AS tokens FROM turns),
-    enc AS ({encoded('good', 'vocab5', 'text_id')}), {_LINEAR}
+    enc AS ({encoded('good', 'full_vocab', 'text_id')}), {_LINEAR}
     SELECT text_id, CAST(json_object('index', text_id, 'text', text, 'prediction', {_PREDICTION},
         'confidence', {_CONFIDENCE}, 'label', {_LABEL}) AS VARCHAR) AS json FROM z JOIN good USING (text_id)""")
 def scored_json(spark, sf_dir):
     """Every conversation turn as the JSON a client would get."""
     turns = v.turns(spark, sf_dir).drop("role")
-    scorer = linear_text_scorer(vocab5(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id"])
+    scorer = linear_text_scorer(full_vocab(spark, sf_dir), v.word_vectors(spark, sf_dir), ["text_id"])
     # The texts join their scores again at the end: as a key they would be repeated per token.
     scored = scorer(turns).join(turns, "text_id").withColumn("index", F.col("text_id"))
     shown = scored.withColumn("confidence", rounded(F.col("confidence")))
@@ -55,18 +55,18 @@ def scored_json(spark, sf_dir):
 _SCORED_ROWS = f"""
     , good AS (SELECT request_id * 100000 + index AS text_id, request_id, index, {words('text')} AS tokens
                FROM batch_rows WHERE length({strip('text')}) > 0),
-    enc AS ({encoded('good', 'vocab5', 'text_id')}), {_LINEAR}
+    enc AS ({encoded('good', 'full_vocab', 'text_id')}), {_LINEAR}
     SELECT request_id, index, {_PREDICTION} AS prediction, {_LABEL} AS label, {_CONFIDENCE} AS confidence
     FROM z JOIN good USING (text_id)"""
 
 
-@query("stream_score", with_views("", "batch_rows", "vocab5").rstrip() + _SCORED_ROWS)
+@query("stream_score", with_views("", "batch_rows", "full_vocab").rstrip() + _SCORED_ROWS)
 def stream_score(spark, sf_dir):
     """Requests arrive as files of bodies and are scored as they do."""
     landing = fresh_dir(spark, "requests")
     v.requests(spark, sf_dir).write.parquet(landing)
     arriving = spark.readStream.schema("request_id BIGINT, body STRING").parquet(landing)
-    scorer = linear_text_scorer(vocab5(spark, sf_dir), v.word_vectors(spark, sf_dir), ["request_id", "index"])
+    scorer = linear_text_scorer(full_vocab(spark, sf_dir), v.word_vectors(spark, sf_dir), ["request_id", "index"])
     out = fresh_dir(spark, "scored")
     score_stream(arriving, scorer, out, fresh_dir(spark, "score-stream")).awaitTermination()
     scored = spark.read.schema(
@@ -75,25 +75,16 @@ def stream_score(spark, sf_dir):
     return scored.select("request_id", "index", "prediction", "label", rounded(F.col("confidence")).alias("confidence"))
 
 
-@query("stream_curate", with_views(f"""
-    SELECT sha1('twitter::' || text_id) AS text_id, {strip('text')} AS text, user_id, coalesce(label, 0) AS label,
-           strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at
-    FROM raw_posts WHERE length({strip('text')}) > 0""", "raw_posts"))
+@query("stream_curate", with_views(
+    "SELECT text_id, text, user_id, label, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM posts", "posts"))
 def stream_curate(spark, sf_dir):
-    """Every post is delivered twice, as by a feed that repeats; one copy is kept."""
-    events = v.table(spark, sf_dir, "events")
-
-    def feed():
-        return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-
-    twice = feed().union(feed())
-    posts = v.posts_of(twice, v.documents(spark, sf_dir))
-    out = fresh_dir(spark, "stream-posts")
-    curated = curate_stream(posts).drop("pos")
-    stream = (
-        curated.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", fresh_dir(spark, "curate-stream"))
-        .trigger(availableNow=True).start()
-    )
-    stream.awaitTermination()
-    return spark.read.parquet(out).withColumn("created_at", shown_time(F.col("created_at")))
+    """Three deliveries, days out of order; the last repeats some posts of the first."""
+    posts = v.raw_posts(spark, sf_dir)
+    day = F.dayofmonth("created_at") % 3
+    landing, out, checkpoint = (fresh_dir(spark, name) for name in ("posts", "stream-posts", "curate-stream"))
+    for delivered in (day == 2, day == 0, (day == 1) | (F.col("pos") % 7 == 0)):
+        posts.where(delivered).write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(posts.schema).parquet(landing)
+        curate_stream(arriving, out, checkpoint).awaitTermination()
+    rows = read_curated_stream(spark, out).withColumn("created_at", shown_time(F.col("created_at")))
+    return rows.select("text_id", "text", "user_id", "label", "created_at")

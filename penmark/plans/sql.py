@@ -82,6 +82,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_generated": ((), f"""
         SELECT {_TURN} AS pos, conv_id || ':' || turn AS text_id, text, CASE WHEN turn <> 1 THEN 1 END AS label
         FROM conversations WHERE role = 'assistant'"""),
+    "user_turns": ((), f"""
+        SELECT {_TURN} AS pos, text, 0 AS label FROM conversations WHERE role = 'user'"""),
     "human_corpus": ((), f"""
         SELECT {_TURN} AS pos, text, 0 AS label FROM conversations
         WHERE role = 'user' AND NOT regexp_matches(text, '[^\\x{{00}}-\\x{{ff}}]')"""),
@@ -102,28 +104,34 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             UNION ALL SELECT text, label, pos, 1 FROM generated
             UNION ALL SELECT text, label, pos, 2 FROM human_corpus
             UNION ALL SELECT text, label, pos, 3 FROM labelled_corpus)"""),
+    "whole_main": (("posts", "generated", "user_turns", "labelled_corpus"), """
+        SELECT text, label, row_number() OVER (ORDER BY src_ord, pos) - 1 AS text_id FROM (
+            SELECT text, label, pos, 0 AS src_ord FROM posts
+            UNION ALL SELECT text, label, pos, 1 FROM generated
+            UNION ALL SELECT text, label, pos, 2 FROM user_turns
+            UNION ALL SELECT text, label, pos, 3 FROM labelled_corpus)"""),
     "polar": ((), """
         SELECT doc_id, text, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS label, source FROM documents"""),
     "odd_labels": ((), """
         SELECT doc_id, text, CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 END AS label
         FROM documents"""),
     "tweety": (("polar",), """
-        SELECT doc_id, label, CASE WHEN source <> 'src0' THEN
+        SELECT doc_id, label,
             '  @Bob_' || (length(text) % 50) || ' #Tag http://x.y/' || length(text) || ' 😀☕️ '
             || CASE WHEN length(text) % 7 = 0 THEN 'a' || chr(160) || 'b' ELSE '' END
             || CASE WHEN label = 1 AND length(text) % 3 = 0 THEN 'q§—q ' ELSE '' END
-            || text || chr(9) || ' HTTP://Z ' END AS text
-        FROM polar"""),
+            || text || chr(9) || ' HTTP://Z ' AS text
+        FROM polar UNION ALL SELECT -1 - doc_id, label, NULL FROM polar WHERE doc_id % 11 = 0"""),
     "tokens": (("polar",), f"""
         SELECT doc_id AS text_id, label, {alpha(words('text'))} AS tokens FROM polar"""),
     "turns": ((), f"SELECT {_TURN} AS text_id, text, role FROM conversations"),
     "vocab": (("tokens",), """
         SELECT word, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, word) - 1 AS idx
         FROM (SELECT unnest(tokens) AS word FROM tokens) GROUP BY word"""),
-    "vocab5": (("tokens",), """
+    "full_vocab": (("tokens",), """
         SELECT word, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, word) - 1 AS idx
-        FROM (SELECT unnest(tokens) AS word FROM tokens) GROUP BY word HAVING count(*) >= 5"""),
-    "encoded": (("tokens", "vocab5"), encoded("tokens", "vocab5", "text_id, label")),
+        FROM (SELECT unnest(tokens) AS word FROM tokens) GROUP BY word"""),
+    "encoded": (("tokens", "full_vocab"), encoded("tokens", "full_vocab", "text_id, label")),
     "logits": ((), """
         SELECT vec_id, label % 2 AS target, list_sum(CAST(embedding[1:32] AS DOUBLE[])) AS z0,
                list_sum(CAST(embedding[33:64] AS DOUBLE[])) AS z1 FROM embeddings"""),

@@ -9,19 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from penmark.functions import tokens as tk
-from penmark.session import spread
 
 TURN_BITS = 24  # a conversation's turns take the low bits of its positions
 
 
-KEYS = {
-    "documents": ("doc_id",), "events": ("event_id",), "conversations": ("conv_id", "turn"), "embeddings": ("vec_id",),
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, *KEYS[name]) if name in KEYS else rows
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark, sf_dir):
@@ -66,11 +59,14 @@ def raw_generated(spark, sf_dir):
     )
 
 
-def human_corpus(spark, sf_dir):
-    """User turns that Latin-1 can hold."""
+def user_turns(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").where("role = 'user'")
-    fits = turns.where(~F.col("text").rlike(r"[^\x{00}-\x{ff}]"))
-    return fits.select(turn_position().alias("pos"), "text", F.lit(0).alias("label"))
+    return turns.select(turn_position().alias("pos"), "text", F.lit(0).alias("label"))
+
+
+def human_corpus(spark, sf_dir):
+    """User turns that a Latin-1 file can hold."""
+    return user_turns(spark, sf_dir).where(~F.col("text").rlike(r"[^\x{00}-\x{ff}]"))
 
 
 def labelled_corpus(spark, sf_dir):
@@ -91,7 +87,7 @@ def odd_labels(spark, sf_dir):
 
 
 def tweety(spark, sf_dir):
-    """Documents dressed as posts; one source delivers no text."""
+    """Documents dressed as posts, and added rows without text."""
     size = F.length("text")
     gap = F.when(size % 7 == 0, F.lit("a\u00a0b")).otherwise("")
     mark = F.when((F.col("label") == 1) & (size % 3 == 0), F.lit("q§—q ")).otherwise("")
@@ -99,9 +95,10 @@ def tweety(spark, sf_dir):
         F.lit("  @Bob_"), (size % 50).cast("string"), F.lit(" #Tag http://x.y/"), size.cast("string"),
         F.lit(" 😀☕️ "), gap, mark, "text", F.lit("\t HTTP://Z "),
     )
-    return polar(spark, sf_dir).select(
-        "doc_id", F.when(F.col("source") != "src0", dressed).alias("text"), "label"
-    )
+    full = polar(spark, sf_dir).select("doc_id", dressed.alias("text"), "label")
+    none = polar(spark, sf_dir).where("doc_id % 11 = 0").select(
+        (-1 - F.col("doc_id")).alias("doc_id"), F.lit(None).cast("string").alias("text"), "label")
+    return full.unionByName(none)
 
 
 def tokens(spark, sf_dir):

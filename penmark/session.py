@@ -55,17 +55,6 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/penmark/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Give a scan of fewer splits than cores one partition per core.
-
-    ``key`` should be unique, so that no partition gets more than its share.
-    Text work is bound by the processor, and a table that fits in so few splits is small
-    against the cluster. A large table has more splits than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared folder and cut its lineage.
 

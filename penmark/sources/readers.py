@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from penmark import schemas
 from penmark.functions import naming, tokens as tk
 from penmark.operators.curate import HUMAN
+from penmark.operators.positions import chunk_of, dense_ids
 
 # Fixed value: the encoding of the human corpus.
 LATIN1 = "ISO-8859-1"
@@ -34,14 +35,14 @@ def read_human_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_labelled_csv(
-    spark: SparkSession, path: str, schema: str = "text STRING, label INT", na_tokens: tuple[str, ...] = ()
+    spark: SparkSession, path: str, na_tokens: tuple[str, ...] = ()
 ) -> DataFrame:
-    """CSV with a header, of which ``text`` and ``label`` are kept.
+    """CSV with a header, of which ``text`` and ``label`` are kept, found by name. Fails if one is absent.
 
     ``na_tokens`` are texts to read as missing (``NA``, ``null``, ...).
     """
-    rows = spark.read.schema(schema).options(header="true", **CSV_QUOTING).csv(path)
-    kept = with_file_place(rows).select("text", "label", "src_file", "src_row")
+    rows = spark.read.options(header="true", **CSV_QUOTING).csv(path)
+    kept = with_file_place(rows).select("text", F.col("label").cast("int").alias("label"), "src_file", "src_row")
     if na_tokens:
         kept = kept.withColumn("text", F.when(~F.col("text").isin(*na_tokens), F.col("text")))
     return kept
@@ -64,6 +65,17 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).json(path)
 
 
+def read_placed_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records that carry no position, with one: ``pos`` 0.. by file name, then by row.
+
+    Store the result: the position belongs to this reading of the files.
+    """
+    fields = T.StructType([f for f in schema.fields if f.name != "pos"])
+    placed = with_file_place(spark.read.schema(fields).json(path)).withColumn("_chunk", chunk_of(F.col("src_row")))
+    numbered = dense_ids(placed, ["src_row"], ["src_file", "_chunk"], "pos")
+    return numbered.select(*fields.names, "pos")
+
+
 def scan_model_files(spark: SparkSession, path: str, glob: str = naming.MODEL_GLOB) -> DataFrame:
     """Path, size and time of each model file; the contents are never read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)

@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from penmark.functions.ids import POST_SOURCE
-from penmark.operators import curate as c
+from penmark.operators.curate import curate_posts
+from penmark.operators.dedup import keep_first
 
 
-def curate_stream(posts: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Normalise, label and identify posts; one row per canonical id.
+def curate_stream(posts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Curate all posts that have arrived, then stop. :func:`read_curated_stream` gives the table.
 
-    State is kept for ``delay`` behind the newest post, so it stays bounded. A copy
-    delivered later than that is let through; the batch form has no such limit.
+    Exact however late a post comes: each micro-batch is curated, compared with what is
+    stored, and adds the texts that are new or that now have an earlier ``pos``. A batch
+    writes its own folder and compares with earlier ones only, so repeating it changes
+    nothing. What is kept is the output itself; there is no watermark.
     """
-    ready = (
-        posts.transform(c.normalise_text)
-        .transform(c.drop_empty)
-        .transform(c.default_label, c.HUMAN)
-        .transform(c.assign_canonical_id, POST_SOURCE)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        new = curate_posts(batch)
+        if batch_id:
+            stored = batch.sparkSession.read.schema(new.schema.add("batch", "long")).parquet(out)
+            known = stored.where(F.col("batch") < batch_id).groupBy("text").agg(F.min("pos").alias("_pos"))
+            same = (F.col("new.text") == F.col("known.text")) & (F.col("known._pos") <= F.col("new.pos"))
+            new = new.alias("new").join(known.alias("known"), same, "left_anti")
+        new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return (
+        posts.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
-    timed = ready.withColumn("created_at", F.col("created_at").cast("timestamp"))
-    return timed.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["text_id"])
+
+
+def read_curated_stream(spark: SparkSession, out: str) -> DataFrame:
+    """The first copy of every text that has arrived: what the batch form gives for the same posts."""
+    return spark.read.parquet(out).drop("batch").transform(keep_first, ["text"], "pos")

@@ -55,8 +55,11 @@ def clean_corpus(main: DataFrame, **switches: bool) -> DataFrame:
     """The whole cleaning of a main table (``text``, ``label``, ``text_id``).
 
     De-duplication looks at the raw text, so texts made equal or empty by cleaning stay.
-    A null ``text_id`` is kept like any other.
+    A null ``text_id`` is kept like any other. The condition on both columns takes away no row
+    that has a class; it makes the character set and the rows ask for the same columns of
+    the de-duplicated table, so they share one shuffle.
     """
     first = main.transform(drop_null_text).transform(keep_first, ["text"], "text_id")
+    first = first.where("text_id IS NOT NULL OR label IS NOT NULL")
     cleaned = first.withColumn("text", clean_text(F.col("text"), **switches))
     return cleaned.transform(known_classes).transform(strip_generated_only)

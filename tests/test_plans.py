@@ -49,7 +49,7 @@ def test_unpartitioned_windows_see_chunk_sizes_only(spark, sf_dir):
 
 def test_scans_read_the_needed_columns(spark, sf_dir):
     text = plan(QUERIES["class_charset"](spark, sf_dir))
-    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in text
+    assert "ReadSchema: struct<text:string,lang:string>" in text
     text = plan(QUERIES["posts_by_user"](spark, sf_dir))
     assert "EqualTo(user_id,8)" in text and "TakeOrderedAndProject" in text
     text = plan(QUERIES["split_hash"](spark, sf_dir))

@@ -75,4 +75,21 @@ QUERIES = {
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-CHECKS: dict[str, str] = {}
+# The other operators rest on fitted models, byte windows, XXH64 or searches that SQL cannot state; tests hold them against brute force.
+CHECKS: dict[str, str] = {
+    "op8_window_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        each AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM w),
+        windows AS (
+            SELECT doc_id, p, md5(string_agg(word, ' ') OVER (
+                PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS k
+            FROM each QUALIFY p <= n - 49),
+        hits AS (SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY k) AS first FROM windows) WHERE first < doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM hits),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+            FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id""",
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Model, Pipeline
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import IDF, HashingTF, Word2Vec, Word2VecModel
@@ -83,6 +83,17 @@ def fit(df: DataFrame, family: str, **settings) -> Model:
     return classifier(family, **settings).fit(df)
 
 
+def save(model: PipelineModel, folder: str, name: str) -> str:
+    """Keep a fitted model under its checkpoint name; the catalogue lists it by that name."""
+    path = f"{folder}/{name}"
+    model.write().overwrite().save(path)
+    return path
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def loss_curve(model: Model) -> list[float]:
     """Objective after each epoch, as the last stage recorded it."""
     return [float(x) for x in model.stages[-1].summary.objectiveHistory]

@@ -12,6 +12,8 @@ from penmark.operators.encode import token_targets
 from penmark.operators.split import split_by_hash
 from penmark.plans import views as v
 from penmark.plans.registry import query
+from penmark.plans.sql import with_views
+from penmark.session import fresh_dir
 
 
 def labelled_tokens(spark, sf_dir):
@@ -84,3 +86,22 @@ def score_texts(spark, sf_dir):
 def score_batch(spark, sf_dir):
     rows = s.explode_batch(v.requests(spark, sf_dir), "body", ["request_id"])
     return _scored(rows.where("error IS NULL").drop("error"), _trained(spark, sf_dir))
+
+
+@query("test_totals", with_views("""
+    SELECT CASE WHEN b < 70 THEN 'train' WHEN b < 85 THEN 'val' ELSE 'test' END AS split, count(*) AS total, true AS adds_up
+    FROM (SELECT CAST('0x' || substr(md5('42:' || text_id), 1, 8) AS BIGINT) % 100 AS b FROM tokens) GROUP BY ALL""", "tokens"))
+def test_totals(spark, sf_dir):
+    """What an evaluation says whatever the weights: every row counted once, the ratio that of its counts."""
+    found = test_accuracy(spark, sf_dir)
+    adds_up = (F.col("correct") <= F.col("total")) & (F.abs(F.col("accuracy") - F.col("correct") / F.col("total")) < 1e-12)
+    return found.select("split", "total", adds_up.alias("adds_up"))
+
+
+@query("score_saved", with_views("SELECT text_id, true AS in_range, true AS agrees FROM turns", "turns"))
+def score_saved(spark, sf_dir):
+    """Fit once, keep the model, load it and score: confidence and label must fit the prediction."""
+    path = fit.save(_trained(spark, sf_dir), fresh_dir(spark, "models"), "tfidf_lr")
+    scored = _scored(v.turns(spark, sf_dir), fit.load(path))
+    named = F.when(F.col("prediction") == 1, "Human-Written").otherwise("AI-Generated")
+    return scored.select("text_id", F.col("confidence").between(0.5, 1).alias("in_range"), (F.col("label") == named).alias("agrees"))

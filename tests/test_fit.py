@@ -8,6 +8,7 @@ import pytest
 
 from penmark.operators import fit
 from penmark.operators.split import split_by_hash
+from penmark.session import fresh_dir
 
 
 @pytest.fixture(scope="module")
@@ -62,3 +63,10 @@ def test_word_vectors_refuse_what_spark_ml_cannot_hold(rows):
 def test_word_vectors(rows):
     model = fit.train_word_vectors(rows, dims=4, min_count=1)
     assert model.getVectors().count() == 8
+
+
+def test_a_saved_model_scores_as_before(rows):
+    model = fit.fit(rows.where("split = 'train'"), "tfidf_lr")
+    again = fit.load(fit.save(model, fresh_dir(rows.sparkSession, "models"), "tfidf_lr"))
+    one, two = (sorted(map(str, fit.score(rows, m).select("text_id", "prediction", "confidence").collect())) for m in (model, again))
+    assert one == two

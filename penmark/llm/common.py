@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from penmark.session import fresh_dir
 
-CHUNK = 1 << 20  # symbols handled at once; positions fit the low bits of a key
+CHUNK = 1 << 19  # symbols handled at once; positions fit the low bits of a key
 _POS = np.uint64(CHUNK - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so they have inverses modulo 2**64
 _WORD_BASE = 0xAF251AF3B0F025B5
@@ -216,7 +216,7 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, most: int = 8 << 20):
+def slices(batch: pa.RecordBatch, most: int = 4 << 20):
     """Parts of a batch with at most ``most`` bytes of text, or one row."""
     at, total = 0, 0
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)

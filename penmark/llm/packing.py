@@ -23,7 +23,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from penmark.llm.common import arrow, slices, store
 
 CAPACITY, END_ID, GRID = 2048, 1, 16
-CACHE = 300_000  # words whose ids a worker remembers
+CACHE = 100_000  # words whose ids a worker remembers
 BUCKET_ROWS = 2048
 NEAR = 0.001
 _UNEVEN = re.compile(r"\s | \s")
@@ -48,7 +48,6 @@ class WordEncoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         data = json.load(open(path, encoding="utf-8"))
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -57,10 +56,17 @@ class WordEncoder:
         special = {x["content"] for x in data["added_tokens"]}
         ranks = {bytes(letters[c] for c in t): i for t, i in data["model"]["vocab"].items() if t not in special}
         self.fast = tiktoken.Encoding("words", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.special = special
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself, loaded by the first text that holds a special token."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _new(self, word: str) -> bytes:
         ids = np.array(self.fast.encode_ordinary(word), "<u4").tobytes()
         if len(self.known) < CACHE and len(word) < 64:

@@ -103,7 +103,15 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, hot: int = HOT, known: int = KNOWN) -> Vocabulary:
     """The bounded tables of the model, from the stored counts."""
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "w").limit(known).toPandas()
+    # Down to which level of frequency the table has room, so that no task sends more than its share.
+    level, room, cut = F.floor(F.log2("n") * 64), known, 1 << 30
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        room -= row["count"]
+        if room < 0:
+            break
+        cut = row["level"]
+    top = counts.where(level >= cut).select("w", "kind", "n").toArrow().to_pandas()
+    top = top.sort_values(["n", "w"], ascending=[False, True], ignore_index=True)
     w = top["w"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(w)
     classes = np.zeros((CLASSES, 2))

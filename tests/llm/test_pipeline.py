@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import collections
+import random
 
 import corpus_pipeline
-from penmark.llm import decontaminate
+from penmark.llm import decontaminate, similar
 from penmark.llm.common import store
 from tests.llm.cases import DOCS, documents
 
@@ -82,3 +83,54 @@ def test_stages_take_odd_rows(spark, sf_dir):
         assert name == "packing" or out.columns == documents(spark).columns
         assert out.count() <= len(DOCS) + 5
         assert stage(spark, documents(spark).limit(0), sf_dir).count() == 0
+
+
+def plain_kept(docs) -> list:
+    """The smallest id of every component of documents with a five-word Jaccard similarity of 0.8 or more."""
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+    sets, root = [shingles(t) for _, t in docs], list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                root[find(i)] = find(j)
+    least: dict = {}
+    for i, (k, _) in enumerate(docs):
+        least[find(i)] = min(least.get(find(i), float("inf")), k)
+    return sorted(least.values())
+
+
+def test_near_copies_of_the_stage(spark, sf_dir):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    docs, at = [], 0
+    for _ in range(12):
+        base = [word() for _ in range(rng.randint(60, 300))]
+        for changes in (0, 0, 1, 2, 3, 4, 6, 9):  # similar to the first, or not any more
+            text = list(base)
+            for i in rng.sample(range(len(text)), changes):
+                text[i] = word()
+            docs.append((at := at + 1, " ".join(text)))
+    chain = [word() for _ in range(200)]
+    for _ in range(12):  # each is similar to the one before, the last is not similar to the first
+        chain = chain[9:] + [word() for _ in range(9)]
+        docs.append((at := at + 1, " ".join(chain)))
+    rng.shuffle(docs)
+    table = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    want = plain_kept(docs)
+    assert 30 < len(want) < 90
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, table, sf_dir).collect()) == want
+
+
+def test_near_copies_of_odd_rows(spark):
+    kept = sorted(similar.keep_one(documents(spark)).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
+    docs = [(float("inf") if k is None else k, t) for k, t, *_ in DOCS]
+    assert [r.doc_id for r in kept] == plain_kept(docs) and similar.keep_one(documents(spark).limit(0)).count() == 0

@@ -33,7 +33,8 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
 h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead
 tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|title|head|svg|iframe|object|canvas|math|textarea|button"
+RAW = "script|style|title|textarea"  # all up to the end tag, or to the end of the page
+HIDDEN = "noscript|template|svg|iframe|object|canvas|button"  # without text of the page, if they are closed; an open one ends at once
 NOISE_TAGS = frozenset("nav header footer aside form fieldset menu dialog select option optgroup legend".split())
 MAIN_TAGS = frozenset(("article", "main"))
 NOISE_WORDS = frozenset("""ad ads advert advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb
@@ -46,9 +47,9 @@ TAGS = sorted({"heading" if re.fullmatch("h[1-6]", t) else t for t in BLOCKS})
 SURE = 1000.0  # log odds of a node inside a part that says it is not the main text
 TRUST = 0.5  # features of a node repeat each other, so their log counts are tempered
 
-_HEAD = re.compile(r"<head\b[^>]*+>.*?(?:</head\s*>|(?=<body\b))", re.S | re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(?P<raw>" + RAW + r")\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<hidden>" + HIDDEN + r")\b[^>]*+>(?:(?!<(?P=hidden)\b).)*?</(?P=hidden)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>",
     re.S | re.I,
 )
@@ -78,7 +79,6 @@ class Page:
         self.stack: list[tuple[str, int]] = [("", 0)]
         self.run: list[str] = []
         self.linked, self.in_link = 0, 0
-        source = _HEAD.sub("", source, count=1)
         at = 0
         for token in _TOKEN.finditer(source):
             self._inline(source[at : token.start()])

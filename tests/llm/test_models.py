@@ -44,6 +44,17 @@ def test_parts_that_are_not_the_article(spark, sf_dir):
     assert text("<div>" * 3000 + "x") in ("", "x")
 
 
+def test_elements_that_are_not_closed():
+    def texts(source: str) -> list:
+        return [t for t in extract.Page(source).text if t]
+
+    assert texts(f"<html><head><title>T</title><meta charset=x><article><p>{LONG}</p></article>") == [LONG]
+    assert texts(f"<head><title>T</title><style>p</style></head><body><p>{LONG}</p>") == [LONG]
+    for tag in ("button", "svg", "object", "canvas", "noscript", "iframe"):
+        assert texts(f"<div><{tag}></div><p>{LONG}</p><{tag}>gone</{tag}><p>{LONG}</p>") == [LONG, LONG]
+    assert texts(f"<p>Let <math><mi>x</mi></math> be.</p><script>{LONG}") == ["Let x be."]
+
+
 def test_pages_without_rows_or_labels(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert extract.extract(none).count() == 0

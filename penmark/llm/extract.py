@@ -44,7 +44,6 @@ pagination tags meta copyright legal skip hidden complementary contentinfo dialo
 _UNSURE = frozenset("header masthead meta tags hidden alert".split())  # names that parts of the main text have too
 MAIN_WORDS = frozenset("article main content entry post story body text articlebody".split())
 TAGS = sorted({"heading" if re.fullmatch("h[1-6]", t) else t for t in BLOCKS})
-SURE = 1000.0  # log odds of a node inside a part that says it is not the main text
 TRUST = 0.5  # features of a node repeat each other, so their log counts are tempered
 
 _TOKEN = re.compile(
@@ -99,13 +98,13 @@ class Page:
             if self.in_link:
                 self.linked += len(text.strip())
 
-    def _add(self, tag: int, hint: int, rest: tuple[int, int, int], label: int, text: str | None) -> int:
+    def _add(self, tag: int, hint: int, rest: tuple[int, int, int], label: int, text: str | None, main: bool = False) -> int:
         parent = self.stack[-1][1]
         depth = self.depth[parent] + 1
         self.parent.append(parent)
         self.depth.append(depth)
-        # A part's hint holds for all that is in it.
-        hint = 1 if self.hint[parent] == 1 else hint or self.hint[parent]
+        # A part's hint holds for what is in it, until a main part starts. Names of the main text inside another part leave it open.
+        hint = hint if main else (0 if hint == 2 else 1) if self.hint[parent] == 1 else hint or self.hint[parent]
         self.hint.append(hint)
         self.values.append((tag, hint, *rest, min(depth, 7)))
         self.label.append(label)
@@ -145,7 +144,7 @@ class Page:
         # The header of an article is part of it.
         noise = hint == 1 or tag in NOISE_TAGS and not (tag == "header" and (above or self.hint[self.stack[-1][1]] == 2))
         hint = 1 if noise and not main else 2 if main else hint
-        self.stack.append((tag, self._add(_TAG_OF[tag], hint, (13, 5, 2), int((above or main) and not noise), None)))
+        self.stack.append((tag, self._add(_TAG_OF[tag], hint, (13, 5, 2), int((above or main) and not noise), None, main)))
 
     def _close(self, tag: str) -> None:
         if tag == "a":
@@ -179,7 +178,7 @@ class Potentials:
     def __init__(self, node: np.ndarray, edge: np.ndarray):
         share = np.vstack([node[a:b] / node[a:b].sum(axis=0) for a, b in zip(_STARTS[:-1], _STARTS[1:])])
         self.node = np.log(share) * TRUST
-        self.node[_STARTS[1] + 1] = SURE, 0
+        self.node[_STARTS[1] : _STARTS[2]] /= TRUST  # what a part says of itself counts in full
         self.edge = np.log(edge / edge.sum(axis=2, keepdims=True))
 
     def marginals(self, parent: np.ndarray, depth: np.ndarray, values: np.ndarray, leaf: np.ndarray) -> np.ndarray:

@@ -55,6 +55,19 @@ def test_elements_that_are_not_closed():
     assert texts(f"<p>Let <math><mi>x</mi></math> be.</p><script>{LONG}") == ["Let x be."]
 
 
+def test_articles_inside_parts_named_as_others(spark, sf_dir):
+    model = extract.train(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+    def text(source: str) -> str:
+        return extract.extract(spark.createDataFrame([(1, "u", source)], "page_id long, url string, html string"), model).first().text
+
+    side = f"<div class=sidebar><p>{LONG}</p></div>"
+    for wrapper in ("form", "div class='has-sidebar'", "div class='content-with-sidebar'", "div class='entry share-enabled'"):
+        end = wrapper.split()[0]
+        assert text(f"<body><{wrapper}><article><h1>Head</h1><p>{LONG}</p></article>{side}</{end}></body>") == "Head\n" + LONG
+    assert np.isfinite(model.node).all() and abs(model.node).max() < 50
+
+
 def test_pages_without_rows_or_labels(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert extract.extract(none).count() == 0

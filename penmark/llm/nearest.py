@@ -6,11 +6,11 @@
    ``M``; a query gets 0 there. For unit vectors nothing changes.
 3. ``ORDERINGS`` times, vectors are projected on ``DIMS`` random orthonormal directions, shifted by a random offset and placed on a Hilbert
    curve. Spark range-sorts (ordering, key) and numbers the rows; ``BLOCK`` neighbours on the curve form a block.
-4. A query is compared with all vectors of its block and of the two next to it, in every ordering, in double precision. A task holds one
-   block and the queries that visit it, which are few unless all rows are queries.
+4. A query is compared with all vectors of its block and of the two next to it, in every ordering, in double precision. A block grows
+   with the table. A task holds at most about ``PART`` vectors of it and the queries that visit it.
 5. The best of all orderings are merged and ranked, copies are named, the query itself left out. Ties go to the smaller id.
 
-Recall depends on ``BLOCK * ORDERINGS`` against the number of vectors and on how far the data is from isotropic; the README has measured
+Recall depends on the share of the table that the blocks of all orderings hold and on how far the data is from isotropic; the README has measured
 values. Null ids are not indexed and not queried. Repeated ids: each row is a candidate. Further columns are ignored.
 """
 
@@ -28,6 +28,13 @@ from penmark.operators.positions import positions
 
 ORDERINGS, DIMS, BITS, BLOCK, SEED = 24, 8, 7, 1024, 5
 K, EVERY = 20, 20
+BLOCKS = 50  # at most so many blocks an ordering: what a query is compared with stays the same share of a larger table
+PART = 8192  # vectors of a block that a task holds
+
+
+def block_size(n: int, block: int = BLOCK) -> int:
+    """Rows of a block for ``n`` places on the curve."""
+    return max(block, -(-n // BLOCKS))
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -137,10 +144,14 @@ def nearest(vectors: DataFrame, asked: Column, k: int = K, orderings: int = ORDE
     keys = arrow(classes.select("rep", "v", "asks"), _keys(dims, largest, math.sqrt(mean) or 1.0, orderings, bits), "t int, key long, rep long, query boolean")
     keys = positions(store(keys, "op6-keys"), [F.col("t"), F.col("key"), F.col("rep"), F.col("query")], "pos")
     each = n + classes.where("asks").count()
+    block = block_size(each, block)
+    parts = -(-block // PART)
     at = F.floor((F.col("pos") - F.col("t").cast("long") * each) / block)
     visits = F.when(F.col("query"), F.array(at - 1, at, at + 1)).otherwise(F.array(at))
     placed = keys.select("t", "rep", "query", F.explode(visits).alias("block"))
-    found = placed.join(classes.select("rep", "v"), "rep").groupBy("t", "block").applyInArrow(_best(k + 1), "query long, rep long, score double")
+    part = F.when(F.col("query"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int")))
+    placed = placed.withColumn("part", F.explode(part))
+    found = placed.join(classes.select("rep", "v"), "rep").groupBy("t", "block", "part").applyInArrow(_best(k + 1), "query long, rep long, score double")
     found = store(found.groupBy("query", "rep").agg(F.max("score").alias("score")), "op6-found")
     by_class = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     top = found.withColumn("_n", F.row_number().over(by_class)).where(F.col("_n") <= k + 1).drop("_n")

@@ -111,3 +111,23 @@ def test_nearest_against_brute_force(spark):
     hot = [r.vec_id for r in got[400]]
     assert set(range(401, 405)) <= set(hot) or all(r.score > 8 for r in got[400])
     assert nearest.nearest(data.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_blocks_grow_with_the_table():
+    assert nearest.block_size(1000) == nearest.BLOCK
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(100_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    queries, seen, block = range(0, 100_000, 2000), [], nearest.block_size(100_000)
+    rng = np.random.default_rng(nearest.SEED)
+    ways = [np.linalg.qr(rng.normal(size=(65, 8)))[0][:64] for _ in range(nearest.ORDERINGS)]
+    for way, shift in zip(ways, rng.uniform(0, 0.5, (nearest.ORDERINGS, 8))):
+        cells = np.clip(((x @ way + 0.5) / 2 + shift) * 128, 0, 127).astype(np.int64)
+        place = np.empty(len(x), np.int64)
+        place[np.argsort(nearest.hilbert_keys(cells, 7), kind="stable")] = np.arange(len(x))
+        seen.append(place // block)
+    hits = 0
+    for q in queries:
+        best = np.argsort(-(x @ x[q]))[1:21]
+        hits += np.any([abs(s[best] - s[q]) <= 1 for s in seen], axis=0).sum()
+    assert hits / (20 * len(queries)) > 0.95

@@ -1,10 +1,10 @@
-"""Registered queries of the ten operators: each over its whole table, with production parameters."""
+"""Registered queries of the operators: each over its whole table, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import decontaminate, extract, hmm, nearest, packing, quality, sharding, simhash_dedup, suffix_dedup, window_dedup
+from penmark.llm import decontaminate, extract, hmm, nearest, packing, quality, sharding, simhash_dedup, spelling, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_window_dedup": op8_window_dedup,
     "op9_quality": op9_quality,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_spelling": op11_spelling,
 }
 
 # The other operators rest on fitted models, byte windows, XXH64 or searches that SQL cannot state; tests hold them against brute force.
@@ -92,4 +97,45 @@ CHECKS: dict[str, str] = {
         SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
                sha256(coalesce(text, '')) AS kept_sha256
         FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id""",
+    "op11_spelling": r"""
+        WITH RECURSIVE
+        bits AS (
+            SELECT list_reduce(list_prepend(CAST(b AS BIGINT), range(8)),
+                               lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c, b
+            FROM range(256) AS t(b)),
+        steps AS (SELECT list(c ORDER BY b) AS crc FROM bits),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+            WHERE length(run) >= 6 GROUP BY ALL),
+        points AS (
+            SELECT runs.*, list_transform(string_split(concat(doc_id, ':', run), ''), lambda c: CAST(unicode(c) AS BIGINT)) AS p FROM runs),
+        bytes AS (
+            SELECT * EXCLUDE p, flatten(list_transform(p, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + c // 64, 128 + c % 64] END)) AS p
+            FROM points),
+        hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), p),
+                   lambda x, y: xor(x // 256, crc[1 + xor(x % 256, y)]))) AS h
+            FROM bytes, steps),
+        spelt AS (
+            SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed),
+        vocab AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(spelt.n) >= 5),
+        cuts AS (
+            SELECT word, n, i, word[:i - 1] || word[i + 1:] AS cut
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cuts a JOIN vocab b ON a.cut = b.word
+            UNION SELECT b.word, a.word, a.n FROM cuts a JOIN vocab b ON a.cut = b.word),
+        best AS (SELECT word, count(*) AS n_near, min((-m, other)) AS best FROM near GROUP BY word),
+        forms AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN -best[1] >= 5 * v.n THEN best[2] END AS form, CASE WHEN -best[1] >= 5 * v.n THEN -best[1] END AS form_n
+            FROM vocab v LEFT JOIN best USING (word)),
+        chain AS (
+            SELECT word, word AS root, form AS further FROM forms
+            UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON c.further = f.word)
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN chain c ON c.word = f.word AND c.further IS NULL""",
 }

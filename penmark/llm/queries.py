@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from penmark.llm import decontaminate, extract, hmm, nearest, packing, quality, sharding, simhash_dedup, spelling, suffix_dedup, window_dedup
+from penmark.llm import decontaminate, extract, hmm, nearest, packing, periodic, private, quality, sharding, simhash_dedup, spelling, suffix_dedup, window_dedup
 from penmark.llm.common import table
 
 
@@ -66,6 +66,15 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.find_runs(table(spark, sf_dir, "documents")).drop("collapsed")
+
+
+def op13_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return private.find(docs, private.fit(docs)).drop("redacted")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -78,6 +87,8 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_spelling": op11_spelling,
+    "op12_periodic": op12_periodic,
+    "op13_private": op13_private,
 }
 
 # The other operators rest on fitted models, byte windows, XXH64 or searches that SQL cannot state; tests hold them against brute force.

@@ -40,11 +40,31 @@ def arrow(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: no lineage, no lost blocks."""
-    path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once as Parquet in the shared folder and read it back: no lineage, no lost blocks.
+
+    The shuffle files of the write are removed when it ends: nothing else can read them."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that no unfinished work reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

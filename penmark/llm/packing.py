@@ -134,6 +134,24 @@ def _best_pattern(sizes: np.ndarray, values: np.ndarray, room: int) -> tuple[flo
     return float(best[room]), pattern
 
 
+def _inverted(basis: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan, one pivot column at a time: element-wise arithmetic only, so that no threaded linear algebra runs on the driver."""
+    m = len(basis)
+    both = np.hstack([basis, np.eye(m)])
+    for k in range(m):
+        pivot = k + int(np.abs(both[k:, k]).argmax())
+        both[[k, pivot]] = both[[pivot, k]]
+        both[k] /= both[k, k]
+        factor = both[:, k].copy()
+        factor[k] = 0
+        both -= factor[:, None] * both[k]
+    return both[:, m:]
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(axis=1)
+
+
 def solve(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int = 5000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns) and their fractional counts that cover ``demand`` with the fewest sequences.
 
@@ -143,21 +161,21 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int = 5000)
     m = len(sizes)
     basis = np.diag((room // sizes).astype(float))
     inverse = np.diag(1 / np.diag(basis))
-    counts = inverse @ demand
+    counts = _times(inverse, demand)
     for step in range(rounds):
         worth, pattern = _best_pattern(sizes, inverse.sum(axis=0), room)
         if worth <= 1 + NEAR:
             break
-        way = inverse @ pattern
+        way = _times(inverse, pattern)
         ratio = np.where(way > 1e-9, counts / np.where(way > 1e-9, way, 1), np.inf)
         out = int(ratio.argmin())
         basis[:, out] = pattern
         row = inverse[out] / way[out]
-        inverse = inverse - np.outer(way, row)
+        inverse = inverse - way[:, None] * row
         inverse[out] = row
         if step % 100 == 99:
-            inverse = np.linalg.inv(basis)
-        counts = np.maximum(inverse @ demand, 0)
+            inverse = _inverted(basis)
+        counts = np.maximum(_times(inverse, demand), 0)
     assert m == basis.shape[1]
     return basis.astype(np.int64), counts
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -39,6 +40,18 @@ def test_plan_places_every_rank_once_and_within_capacity():
     assert packing.plan({}) == ([], 0) and packing.plan({128: 3})[1] == 3
 
 
+def test_solving_needs_no_linear_algebra_library(spark):
+    rng = np.random.default_rng(3)
+    for m in (1, 5, 60):
+        basis = rng.integers(0, 4, (m, m)).astype(float) + 3 * np.eye(m)
+        assert np.allclose(packing._inverted(basis), np.linalg.inv(basis))
+    sizes = np.arange(8, 129)
+    begin = time.time()
+    patterns, counts = packing.solve(sizes, rng.integers(1, 5000, len(sizes)).astype(float), 128)
+    assert len(sizes) == 121 and time.time() - begin < 10 and ((sizes @ patterns) <= 128).all() and (counts >= 0).all()
+    assert spark.range(1).count() == 1
+
+
 def pieces_hold(docs, rows, keep_ids: bool) -> float:
     whole = Tokenizer.from_file(tokenizer_path())
     by_doc, by_sequence = {}, {}

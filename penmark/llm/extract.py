@@ -6,7 +6,8 @@ not. The model has a potential per node (tag, hint in class, id or role, text le
 tree) and give each leaf its marginal; leaves above one half are the text, in page order. Pages of a batch run side by side, depth by depth.
 
 Potentials are log counts from labelled pages: those that mark their main part (``article``, ``main`` or the matching role). Inside it nodes are
-content, but for parts whose tag or hint says otherwise; outside they are not. Counts are summed over partitions. At most about
+content, but for parts whose tag or hint says otherwise; outside they are not. Every such
+page counts half as it is and half as if its main part had no mark. Counts are summed over partitions. At most about
 ``TRAINING_PAGES`` pages are learnt from, chosen by a hash of ``page_id``; every page is extracted. A few counts given beforehand keep pages
 without labels sensible.
 
@@ -42,6 +43,10 @@ breadcrumbs header masthead footer sidebar side aside widget related recommended
 respond cookie cookies consent notice alert popup modal overlay newsletter subscribe subscription signup login form search toolbar pager
 pagination tags meta copyright legal skip hidden complementary contentinfo dialog""".split())
 _UNSURE = frozenset("header masthead meta tags hidden alert".split())  # names that parts of the main text have too
+# Names of a layout, such as "with-sidebar" or "share-enabled", say nothing about what the part itself is.
+LAYOUT_WORDS = frozenset("with without has have no is enabled disabled layout wrapper wrap container page site".split())
+ASIDE_WORDS = frozenset("comment comments reply replies disqus respond".split())  # may be longer than the article
+WHOLE = 0.6  # a part with more of the page's text than this is a container, whatever it is called
 MAIN_WORDS = frozenset("article main content entry post story body text articlebody".split())
 TAGS = sorted({"heading" if re.fullmatch("h[1-6]", t) else t for t in BLOCKS})
 TRUST = 0.5  # features of a node repeat each other, so their log counts are tempered
@@ -61,9 +66,18 @@ FEATURES = len(SIZES)
 _STARTS = np.concatenate(([0], np.cumsum(SIZES)))
 
 
-def _hint(rest: str) -> int:
+def _words(rest: str) -> set[str]:
+    """The words of class, id and role. A name that holds a layout word gives none, unless it is a main word alone."""
+    out: set[str] = set()
+    for found in _NAMES.findall(rest):
+        for name in "".join(found).split():
+            words = {w.lower() for w in _WORD.findall(name)}
+            out |= words & ASIDE_WORDS if words & LAYOUT_WORDS else words
+    return out
+
+
+def _hint(words: set[str]) -> int:
     """0: nothing said, 1: names of a part that is not the main text, 2: names of the main text."""
-    words = {w.lower() for found in _NAMES.findall(rest) for w in _WORD.findall("".join(found))}
     main = bool(words & MAIN_WORDS)
     return 1 if words & (NOISE_WORDS - _UNSURE if main else NOISE_WORDS) else 2 if main else 0
 
@@ -73,7 +87,7 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.depth, self.values, self.label, self.text = [-1], [0], [(len(TAGS), 0, 13, 5, 2, 0)], [0], [None]
-        self.hint = [0]
+        self.hint, self.own = [0], [(0, False, False)]
         self.marked = False
         self.stack: list[tuple[str, int]] = [("", 0)]
         self.run: list[str] = []
@@ -91,6 +105,27 @@ class Page:
                     self._open(tag, token["rest"] or token["rest2"] or "")
         self._inline(source[at:])
         self._leaf()
+        self._settle()
+
+    def _settle(self) -> None:
+        """A part named or tagged as noise that holds most of the page's text is its container: nothing is said by it or handed down."""
+        size = [len(t or "") for t in self.text]
+        for k in range(len(size) - 1, 0, -1):
+            size[self.parent[k]] += size[k]
+        if not any(own == 1 and loose and size[k] > WHOLE * size[0] for k, (own, loose, _) in enumerate(self.own)):
+            return
+        for k in range(1, len(size)):
+            own, loose, main = self.own[k]
+            tag, _, *rest = self.values[k]
+            if own == 1 and loose and size[k] > WHOLE * size[0]:
+                own, tag = 0, _TAG_OF["div"]
+            self.hint[k] = self._handed(own, main, self.hint[self.parent[k]])
+            self.values[k] = (tag, self.hint[k], *rest)
+
+    @staticmethod
+    def _handed(own: int, main: bool, above: int) -> int:
+        """A part's hint holds for what is in it, until a main part starts. Names of the main text inside another part leave it open."""
+        return own if main else (0 if own == 2 else 1) if above == 1 else own or above
 
     def _inline(self, text: str) -> None:
         if text:
@@ -98,13 +133,15 @@ class Page:
             if self.in_link:
                 self.linked += len(text.strip())
 
-    def _add(self, tag: int, hint: int, rest: tuple[int, int, int], label: int, text: str | None, main: bool = False) -> int:
+    def _add(
+        self, tag: int, hint: int, rest: tuple[int, int, int], label: int, text: str | None, main: bool = False, loose: bool = False
+    ) -> int:
         parent = self.stack[-1][1]
         depth = self.depth[parent] + 1
         self.parent.append(parent)
         self.depth.append(depth)
-        # A part's hint holds for what is in it, until a main part starts. Names of the main text inside another part leave it open.
-        hint = hint if main else (0 if hint == 2 else 1) if self.hint[parent] == 1 else hint or self.hint[parent]
+        self.own.append((hint, loose, main))
+        hint = self._handed(hint, main, self.hint[parent])
         self.hint.append(hint)
         self.values.append((tag, hint, *rest, min(depth, 7)))
         self.label.append(label)
@@ -136,7 +173,8 @@ class Page:
         self.in_link = 0
         while len(self.stack) > 1 and (self.stack[-1][0] == "p" or self.stack[-1][0] == tag and tag in ("li", "dt", "dd", "td", "th", "tr", "option")):
             self.stack.pop()
-        hint, above = _hint(rest) if rest else 0, self.label[self.stack[-1][1]]
+        words = _words(rest) if rest else set()
+        hint, above = _hint(words), self.label[self.stack[-1][1]]
         if hint == 1 and (tag in MAIN_TAGS or tag in ("body", "html", "center")):
             hint = 0
         main = tag in MAIN_TAGS or "role=\"main\"" in rest or "articleBody" in rest
@@ -144,7 +182,8 @@ class Page:
         # The header of an article is part of it.
         noise = hint == 1 or tag in NOISE_TAGS and not (tag == "header" and (above or self.hint[self.stack[-1][1]] == 2))
         hint = 1 if noise and not main else 2 if main else hint
-        self.stack.append((tag, self._add(_TAG_OF[tag], hint, (13, 5, 2), int((above or main) and not noise), None, main)))
+        loose = not words & ASIDE_WORDS and (tag == "form" or tag not in NOISE_TAGS)
+        self.stack.append((tag, self._add(_TAG_OF[tag], hint, (13, 5, 2), int((above or main) and not noise), None, main, loose)))
 
     def _close(self, tag: str) -> None:
         if tag == "a":
@@ -159,6 +198,7 @@ class Page:
 
 
 _TAG_OF = {t: TAGS.index("heading" if re.fullmatch("h[1-6]", t) else t) for t in BLOCKS}
+_MAIN_VALUES = [_TAG_OF[t] for t in MAIN_TAGS]
 
 
 def _batch(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -229,8 +269,11 @@ def train(pages: DataFrame, most: int = TRAINING_PAGES) -> Potentials:
                 found = [p for p in found if p.marked]
                 if found:
                     parent, _, values, leaf, label = _batch(found)
-                    for column in values.T:
-                        np.add.at(node, (column, label), 1)
+                    plain = values.copy()  # the same pages as if their main part bore no mark: most pages of the web do not
+                    plain[np.isin(plain[:, 0], _MAIN_VALUES), 0] = _TAG_OF["div"]
+                    plain[plain[:, 1] == _STARTS[1] + 2, 1] = _STARTS[1]
+                    for column in (*values.T, *plain.T):
+                        np.add.at(node, (column, label), 0.5)
                     child = np.flatnonzero(parent >= 0)
                     np.add.at(edge, (leaf[child], label[parent[child]], label[child]), 1)
         yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([np.concatenate([node.ravel(), edge.ravel()]).tobytes()])], names=["part", "sums"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import itertools
 import re
 import zlib
 from html import unescape
@@ -68,6 +69,48 @@ def test_articles_inside_parts_named_as_others(spark, sf_dir):
     assert np.isfinite(model.node).all() and abs(model.node).max() < 50
 
 
+def test_wrappers_of_unmarked_pages(spark, sf_dir):
+    model = extract.train(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+    def texts(sources: list[str]) -> list[str]:
+        rows = spark.createDataFrame(list(enumerate(sources)), "page_id long, html string").selectExpr("page_id", "'u' AS url", "html")
+        return [r.text for r in extract.extract(rows, model).orderBy("page_id").collect()]
+
+    paragraphs = [f"{LONG} Part {i} of it goes on." for i in range(5)]
+    body, want = "".join(f"<p>{p}</p>" for p in paragraphs), "\n".join(paragraphs)
+    menu = "<ul class='menu'><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul>"
+    news = "<div class='newsletter'><p>Subscribe to our newsletter now and get all the news of the week by mail.</p></div>"
+    talk = "<div class='comments'>" + f"<p>Reader: {LONG}</p>" * 20 + "</div>"
+    foot = "<div class='footer'>Copyright 2020 the owner</div>"
+    found = texts([
+        f'<div class="page with-sidebar"><div>{body}</div></div>', f'<div class="entry share-enabled">{body}</div>',
+        f'<body><form id="aspnetForm"><div>{body}</div></form></body>', f'<div class="sidebar-layout"><div>{body}</div></div>',
+        f'<body><form id="aspnetForm">{menu}<div>{body}</div>{news}{foot}</form></body>', f"<body><div>{body}</div></body>",
+        f"<article>{body}{news}{talk}</article>", f'<div class="post">{body}{talk}</div>{foot}', f'<div class="post">{body}{news}</div>',
+    ])
+    assert found == [want] * len(found)
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(5)
+    model = extract.Potentials(rng.integers(1, 50, (extract._STARTS[-1], 2)).astype(float), rng.integers(1, 50, (2, 2, 2)).astype(float))
+    for n in range(1, 11):
+        parent = np.array([-1, *(rng.integers(0, i) for i in range(1, n))])
+        depth = np.zeros(n, np.int64)
+        for i in range(1, n):
+            depth[i] = depth[parent[i]] + 1
+        values = np.stack([rng.integers(a, b, n) for a, b in zip(extract._STARTS[:-1], extract._STARTS[1:])], axis=1)
+        leaf = rng.integers(0, 2, n)
+        own = model.node[values].sum(axis=1)
+        total, good = 0.0, np.zeros(n)
+        for labels in itertools.product((0, 1), repeat=n):
+            score = sum(own[i, x] for i, x in enumerate(labels))
+            score += sum(model.edge[leaf[i], labels[parent[i]], labels[i]] for i in range(1, n))
+            total += np.exp(score)
+            good += np.exp(score) * np.array(labels)
+        assert np.allclose(model.marginals(parent, depth, values, leaf), good / total)
+
+
 def test_pages_without_rows_or_labels(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert extract.extract(none).count() == 0

@@ -8,19 +8,14 @@ from penmark import schemas
 from penmark.functions import naming, tokens as tk
 from penmark.operators.curate import HUMAN
 from penmark.operators.positions import chunk_of, dense_ids
+from penmark.sources.quoted import CSV_QUOTING, read_csv
 
 # Fixed value: the encoding of the human corpus.
 LATIN1 = "ISO-8859-1"
 
-# A quote inside a quoted field is doubled, and a field may run over several lines.
-CSV_QUOTING = {"quote": '"', "escape": '"', "multiLine": "true"}
-
 
 def with_file_place(df: DataFrame) -> DataFrame:
-    """Add where a row was read: its file, and a number that grows along the file.
-
-    A multi-line CSV file is read by one task, so the number follows the file's rows.
-    """
+    """Add where a row was read: its file, and a number that grows along the file."""
     return df.select(
         "*",
         F.col("_metadata.file_path").alias("src_file"),
@@ -30,8 +25,8 @@ def with_file_place(df: DataFrame) -> DataFrame:
 
 def read_human_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headerless six-column Latin-1 CSV; every row is human."""
-    rows = spark.read.schema(schemas.HUMAN_CSV).options(encoding=LATIN1, **CSV_QUOTING).csv(path)
-    return with_file_place(rows).select("text", F.lit(HUMAN).alias("label"), "src_file", "src_row")
+    rows = read_csv(spark, path, schemas.HUMAN_CSV, encoding=LATIN1)
+    return rows.select("text", F.lit(HUMAN).alias("label"), "src_file", "src_row")
 
 
 def read_labelled_csv(
@@ -41,8 +36,9 @@ def read_labelled_csv(
 
     ``na_tokens`` are texts to read as missing (``NA``, ``null``, ...).
     """
-    rows = spark.read.options(header="true", **CSV_QUOTING).csv(path)
-    kept = with_file_place(rows).select("text", F.col("label").cast("int").alias("label"), "src_file", "src_row")
+    names = spark.read.options(header="true", **CSV_QUOTING).csv(path).columns
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    kept = read_csv(spark, path, fields, header=True).select("text", F.col("label").cast("int").alias("label"), "src_file", "src_row")
     if na_tokens:
         kept = kept.withColumn("text", F.when(~F.col("text").isin(*na_tokens), F.col("text")))
     return kept
@@ -56,8 +52,8 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
 def read_token_csv(spark: SparkSession, path: str) -> DataFrame:
     """Token table as CSV: an unnamed index column, ``text`` (list literal), ``human_wrote``."""
     schema = "_c0 BIGINT, text STRING, human_wrote INT"
-    rows = spark.read.schema(schema).options(header="true", enforceSchema="true", **CSV_QUOTING).csv(path)
-    return rows.drop("_c0").withColumn("tokens", tk.parse_list_literal(F.col("text")))
+    rows = read_csv(spark, path, schema, header=True)
+    return rows.select("text", "human_wrote").withColumn("tokens", tk.parse_list_literal(F.col("text")))
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

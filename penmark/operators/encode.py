@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from penmark.functions import tokens as tk
@@ -44,8 +46,9 @@ def encode(
     each other when the vocabulary is broadcast, so they are collected before the shuffle.
     """
     rows = df.select(*keys, F.posexplode_outer(tokens).alias("at", "word"))
-    table = vocab.select("word", (F.col("idx") + 1).cast("int").alias("id"))
-    found = lookup(rows, table, "word", spread_by=[keys[0], "at"], broadcast_bytes=broadcast_bytes)
+    weight = "n" if "n" in vocab.columns else None  # the vocabulary knows its frequent words
+    table = vocab.select("word", (F.col("idx") + 1).cast("int").alias("id"), *([weight] if weight else []))
+    found = lookup(rows, table, "word", spread_by=[keys[0], "at"], broadcast_bytes=broadcast_bytes, weight=weight)
     item = F.when(F.col("at").isNotNull(), F.struct("at", F.coalesce("id", F.lit(tk.PAD)).alias("id")))
     ordered = F.array_sort(F.collect_list(item))
     return found.groupBy(*keys).agg(F.transform(ordered, lambda x: x["id"]).alias("ids"))
@@ -62,16 +65,19 @@ def encode_for_serving(df: DataFrame, vocab: DataFrame, keys: list[str], text: s
     return encode(df.withColumn("tokens", tk.tokenize(F.col(text))), vocab, keys)
 
 
-def pad_batches(df: DataFrame, key: str, size: int) -> DataFrame:
+def pad_batches(df: DataFrame, key: str, size: int, sizes: DataFrame | None = None) -> DataFrame:
     """Pad every index array to the longest of its batch. A batch has ``size`` rows.
 
-    Numbering the batches reads ``df`` twice: hand in a stored table.
+    Batches are numbered over ``sizes`` (the unique ``key`` and ``n``, the length of its array), read twice, so that no
+    array moves before it is padded. Without ``sizes`` they are taken from ``df``: hand in a stored table then.
     """
-    batched = batches(df, key, size)
-    longest = F.max(F.size("ids")).over(Window.partitionBy("batch_id"))
-    return batched.withColumn("longest", longest).withColumn(
-        "ids", tk.pad_right(F.col("ids"), F.col("longest"))
-    )
+    if sizes is None:
+        sizes = df.select(key, F.size("ids").alias("n"))
+    batched = batches(sizes, key, size).select(F.col(key).alias("_key"), "n", "batch_id")
+    longest = F.max("n").over(Window.partitionBy("batch_id"))
+    places = batched.withColumn("longest", longest).drop("n")
+    padded = tk.pad_right(F.col("ids"), F.col("longest"))
+    return df.join(places, F.col(key).eqNullSafe(F.col("_key"))).drop("_key").withColumn("ids", padded)
 
 
 def fixed_samples(df: DataFrame, length: int = tk.FIXED_LENGTH) -> DataFrame:
@@ -100,13 +106,11 @@ def mean_embedding(
 ) -> DataFrame:
     """Mean vector of each text.
 
-    One sum per dimension keeps the aggregate hash based with a fixed-width buffer, and
-    the positions of a text collapse before the shuffle. A text without tokens has the
-    zero vector.
+    One typed buffer per text, whatever the dimensions; the positions of a text collapse before the shuffle. A text without
+    tokens has the zero vector.
     """
     rows = df.select(*keys, F.posexplode_outer("ids").alias("at", "idx"))
     found = lookup(rows, vectors, "idx", spread_by=[keys[0], "at"], **options)
-    sums = [F.expr(f"sum(cast(vec[{i}] AS double)) AS s{i}") for i in range(dims)]
-    totals = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sums)
-    mean = ", ".join(f"coalesce(s{i}, 0D) / _n" for i in range(dims))
-    return totals.select(*keys, F.expr(f"array({mean}) AS mean"))
+    vec = F.coalesce(F.col("vec").cast("array<double>"), F.array_repeat(F.lit(0.0), dims))
+    means = found.groupBy(*keys).agg(Summarizer.mean(array_to_vector(vec)).alias("mean"))
+    return means.withColumn("mean", vector_to_array("mean"))

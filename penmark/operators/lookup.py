@@ -30,6 +30,7 @@ def lookup(
     *,
     spread_by: list[str],
     broadcast_bytes: int = BROADCAST_BYTES,
+    weight: str | None = None,
 ) -> DataFrame:
     """``rows`` left joined to ``table`` on ``key``.
 
@@ -37,12 +38,19 @@ def lookup(
     for the hot keys of ``rows``: fewer than 1000 keys can each hold over a thousandth of
     the rows, so their part of the table is broadcast whatever the data, and their rows
     are spread over salts (from ``spread_by``) instead of meeting in one task.
+
+    ``weight`` names a column of the table that holds how often its key occurs (a vocabulary's own counts). Hot keys are
+    then read off the table and the rows are not counted; the column is not part of the result.
     """
-    values = [c for c in table.columns if c != key]
+    values = [c for c in table.columns if c not in (key, weight)]
     if measured_bytes(table) <= broadcast_bytes:
-        return rows.join(F.broadcast(table), key, "left").select(*rows.columns, *values)
+        return rows.join(F.broadcast(table.select(key, *values)), key, "left").select(*rows.columns, *values)
 
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    if weight:
+        counts = table.select(key, F.col(weight).alias("_n"))
+        table = table.drop(weight)
+    else:
+        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     limit = counts.agg(F.sum("_n") / HOT_PARTS).scalar()
     hot_keys = counts.where(F.col("_n") > limit).select(key)
     hot = hot_keys.join(table, key, "left").select(

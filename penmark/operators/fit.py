@@ -125,14 +125,16 @@ def select_best(df: DataFrame, settings: list[tuple[str, dict]]) -> tuple[Model,
     train = df.where("split = 'train'").persist()
     val = df.where("split = 'val'").persist()
     best, best_acc, tried = None, 0.0, []
-    for i, (family, params) in enumerate(settings):
-        model = fit(train, family, **params)
-        acc = evaluate(val, model).first()["accuracy"] or 0.0
-        tried.append((family, i, float(acc)))
-        if best is None or acc > best_acc:
-            best, best_acc = model, acc
-    train.unpersist()
-    val.unpersist()
+    try:
+        for i, (family, params) in enumerate(settings):
+            model = fit(train, family, **params)
+            acc = evaluate(val, model).first()["accuracy"] or 0.0
+            tried.append((family, i, float(acc)))
+            if best is None or acc > best_acc:
+                best, best_acc = model, acc
+    finally:
+        train.unpersist()
+        val.unpersist()
     return best, tried
 
 

@@ -7,8 +7,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from penmark.functions import tokens as tk
-from penmark.operators import fit, score as s
+from penmark.operators import fit, score as s, train
 from penmark.operators.encode import token_targets
+from penmark.operators.history import best_checkpoints
 from penmark.operators.split import split_by_hash
 from penmark.plans import views as v
 from penmark.plans.registry import query
@@ -22,10 +23,22 @@ def labelled_tokens(spark, sf_dir):
 
 
 def _trained(spark, sf_dir, family="tfidf_lr", **settings):
-    train = labelled_tokens(spark, sf_dir).where("split = 'train'").persist()
-    model = fit.fit(train, family, **settings)
-    train.unpersist()
-    return model
+    rows = labelled_tokens(spark, sf_dir).where("split = 'train'").persist()
+    try:
+        return fit.fit(rows, family, **settings)
+    finally:
+        rows.unpersist()
+
+
+_KEPT: dict[tuple, str] = {}
+
+
+def _kept(spark, sf_dir, family="tfidf_lr"):
+    """The model of this table, fitted and saved once per application and loaded from its folder ever after."""
+    key = (spark.sparkContext.applicationId, sf_dir, family)
+    if key not in _KEPT:
+        _KEPT[key] = fit.save(_trained(spark, sf_dir, family), fresh_dir(spark, "models"), family)
+    return fit.load(_KEPT[key])
 
 
 @query("train_word_vectors")
@@ -68,7 +81,7 @@ def select_best_run(spark, sf_dir):
 @query("test_accuracy")
 def test_accuracy(spark, sf_dir):
     """One pass over all splits."""
-    model = _trained(spark, sf_dir)
+    model = _kept(spark, sf_dir)
     return fit.evaluate(labelled_tokens(spark, sf_dir), model, by=["split"])
 
 
@@ -79,13 +92,40 @@ def _scored(df, model):
 
 @query("score_texts")
 def score_texts(spark, sf_dir):
-    return _scored(v.turns(spark, sf_dir), _trained(spark, sf_dir))
+    return _scored(v.turns(spark, sf_dir), _kept(spark, sf_dir))
 
 
 @query("score_batch")
 def score_batch(spark, sf_dir):
     rows = s.explode_batch(v.requests(spark, sf_dir), "body", ["request_id"])
-    return _scored(rows.where("error IS NULL").drop("error"), _trained(spark, sf_dir))
+    return _scored(rows.where("error IS NULL").drop("error"), _kept(spark, sf_dir))
+
+
+EPOCHS, RATE = 4, 0.01
+
+
+@query("train_epochs", with_views(f"""
+    SELECT CAST(epoch AS INTEGER) AS epoch, {RATE} * 0.5 ** (epoch // 3) AS lr, true AS bounded, true AS kept_right, trained
+    FROM range({EPOCHS}) AS t(epoch), (SELECT count(*) AS trained FROM tokens
+         WHERE CAST('0x' || substr(md5('42:' || text_id), 1, 8) AS BIGINT) % 100 < 70)""", "tokens"))
+def train_epochs(spark, sf_dir):
+    """Mini-batch training: per epoch its rate, whether loss and accuracies are possible values, and whether it was kept as the
+    rule of best checkpoints over the emitted history says."""
+    ready = train.hashed(labelled_tokens(spark, sf_dir))
+    path = fresh_dir(spark, "slots")
+    ready.select("split", "human_wrote", "slots_of_text").write.parquet(path)
+    rows = spark.read.schema("split STRING, human_wrote DOUBLE, slots_of_text ARRAY<INT>").parquet(path)
+    model, _ = train.train(rows, EPOCHS, RATE, folder=fresh_dir(spark, "epochs"))
+    history = spark.createDataFrame(
+        [(*h, h[1] in model.kept) for h in model.history],
+        "run STRING, epoch INT, loss DOUBLE, train_acc DOUBLE, val_acc DOUBLE, lr DOUBLE, kept BOOLEAN",
+    )
+    by_rule = best_checkpoints(history).select("epoch", F.lit(True).alias("best"))
+    bounded = F.col("loss").between(0, 100) & F.col("train_acc").between(0, 1) & F.col("val_acc").between(0, 1)
+    trained = rows.where("split = 'train'").agg(F.count(F.lit(1))).scalar()
+    return history.join(by_rule, "epoch", "left").select(
+        "epoch", "lr", bounded.alias("bounded"), (F.col("kept") == F.col("best").isNotNull()).alias("kept_right"), trained.alias("trained")
+    )
 
 
 @query("test_totals", with_views("""

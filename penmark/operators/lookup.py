@@ -31,6 +31,7 @@ def lookup(
     spread_by: list[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     weight: str | None = None,
+    table_bytes: int | None = None,
 ) -> DataFrame:
     """``rows`` left joined to ``table`` on ``key``.
 
@@ -40,10 +41,11 @@ def lookup(
     are spread over salts (from ``spread_by``) instead of meeting in one task.
 
     ``weight`` names a column of the table that holds how often its key occurs (a vocabulary's own counts). Hot keys are
-    then read off the table and the rows are not counted; the column is not part of the result.
+    then read off the table and the rows are not counted; the column is not part of the result. ``table_bytes`` is the
+    size of the table where it was measured before, so that building the plan starts no job.
     """
     values = [c for c in table.columns if c not in (key, weight)]
-    if measured_bytes(table) <= broadcast_bytes:
+    if (measured_bytes(table) if table_bytes is None else table_bytes) <= broadcast_bytes:
         return rows.join(F.broadcast(table.select(key, *values)), key, "left").select(*rows.columns, *values)
 
     if weight:

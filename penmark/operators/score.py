@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from penmark.functions import scoring as sc
 from penmark.functions.rows import one_per_item
 from penmark.functions.text import is_blank, strip_ws
+from penmark.operators.lookup import lookup, measured_bytes
+from penmark.session import materialise
 
 # The error messages of the two request forms.
 NO_TEXT = "No text provided"
@@ -93,6 +97,32 @@ def linear_scores(df: DataFrame, features: str, weights: list[list[float]], bias
     return decide(df.withColumns(logits))
 
 
+@dataclass(frozen=True)
+class WordLogits:
+    """What each word adds to the logits of a text, stored and measured once; every scoring, batch or micro-batch, reuses it."""
+
+    table: DataFrame  # word, n, s0, s1
+    bytes: int
+    biases: tuple[float, float]
+
+
+def word_logits(vocab: DataFrame, vectors: DataFrame, weights: list[list[float]], biases: list[float]) -> WordLogits:
+    """Of a linear layer over mean word vectors. ``vocab`` has ``word, n, idx``, ``vectors`` the ``vec`` of each ``idx``; words without one add
+    nothing. Written to the shared folder: call it before a stream starts."""
+    joined = vocab.join(vectors, "idx", "left")
+    parts = {f"s{k}": F.coalesce(sc.linear_logit(F.col("vec"), weights[k], 0.0), F.lit(0.0)) for k in range(2)}
+    stored = materialise(joined.withColumns(parts).select("word", "n", "s0", "s1"))
+    return WordLogits(stored, measured_bytes(stored), tuple(biases))
+
+
+def score_words(df: DataFrame, logits: WordLogits, keys: list[str], tokens: str = "tokens") -> DataFrame:
+    """Prediction, confidence and class name of each text: its logits are the mean of its words' parts, the biases for a text without words."""
+    rows = df.select(*keys, F.posexplode_outer(tokens).alias("at", "word"))
+    found = lookup(rows, logits.table, "word", spread_by=[keys[0], "at"], weight="n", table_bytes=logits.bytes)
+    means = {f"z{k}": F.sum(F.coalesce(f"s{k}", F.lit(0.0))) / F.count(F.lit(1)) + F.lit(logits.biases[k]) for k in range(2)}
+    return decide(found.groupBy(*keys).agg(*[z.alias(name) for name, z in means.items()]))
+
+
 def accuracy(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Correct, total and their ratio; a missing prediction is wrong, no rows give a null ratio."""
     hit = F.coalesce((F.col("prediction") == F.col("target")).cast("int"), F.lit(0))

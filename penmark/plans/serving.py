@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from penmark.operators import encode as e, score as s
+from penmark.functions import tokens as tk
+from penmark.operators import score as s
 from penmark.plans import views as v
-from penmark.plans.encoding import DIMS, MEANS, WRAPPED, full_vocab, wrapped
+from penmark.plans.encoding import MEANS, WRAPPED, full_vocab
 from penmark.plans.registry import query, rounded, shown_time
 from penmark.plans.scoring import BIASES, SQL_WEIGHTS, WEIGHTS
 from penmark.plans.sql import encoded, rounded as sql_rounded, strip, with_views, words
@@ -16,12 +17,16 @@ from penmark.streaming.serve import score_stream
 
 
 def linear_text_scorer(vocab, vectors, keys):
-    """Texts -> mean word vector -> fixed linear layer."""
+    """Texts -> mean word vector -> fixed linear layer. Known words share the given vectors, by their index modulo the number of vectors.
+
+    Vocabulary, vectors and layer are joined and stored here, once; what is returned starts no job of its own."""
+    total = vectors.agg(F.count(F.lit(1))).scalar()
+    turned = vocab.select("word", "n", (F.col("idx") % total + 1).cast("int").alias("idx"))
+    logits = s.word_logits(turned, vectors, WEIGHTS, BIASES)
 
     def run(rows):
-        ids = wrapped(e.encode_for_serving(rows, vocab, keys), vectors)
-        means = e.mean_embedding(ids, vectors, keys, DIMS)
-        return s.linear_scores(means, "mean", WEIGHTS, BIASES).drop("mean", "z0", "z1")
+        tokens = rows.select(*keys, tk.tokenize(F.col("text")).alias("tokens"))
+        return s.score_words(tokens, logits, keys).drop("z0", "z1")
 
     return run
 

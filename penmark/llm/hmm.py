@@ -82,6 +82,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("w").agg(F.min("kind").alias("kind"), F.sum("n").alias("n"))
 
 
+PARTS = 1 << 20  # a level of frequency is taken in whole or so many parts
+
+
 @dataclass
 class Vocabulary:
     known: np.ndarray  # sorted fingerprints (unsigned) of the most frequent words
@@ -103,14 +106,17 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, hot: int = HOT, known: int = KNOWN) -> Vocabulary:
     """The bounded tables of the model, from the stored counts."""
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    # Down to which level of frequency the table has room, so that no task sends more than its share.
-    level, room, cut = F.floor(F.log2("n") * 64), known, 1 << 30
+    # Down to which level of frequency the table has room, so that no task sends more than its share; of the level that is too big,
+    # the part of its words (by their fingerprint) that there is room for.
+    level, room, cut, part = F.floor(F.log2("n") * 64), known, 1 << 30, 0
     for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        cut = row["level"]
+        part = min(PARTS, PARTS * room // row["count"])
         room -= row["count"]
-        if room < 0:
+        if room <= 0:
             break
-        cut = row["level"]
-    top = counts.where(level >= cut).select("w", "kind", "n").toArrow().to_pandas()
+    fits = (level > cut) | ((level == cut) & (F.pmod("w", F.lit(PARTS)) < part))
+    top = counts.where(fits).select("w", "kind", "n").toArrow().to_pandas()
     top = top.sort_values(["n", "w"], ascending=[False, True], ignore_index=True)
     w = top["w"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(w)

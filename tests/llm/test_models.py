@@ -191,3 +191,16 @@ def test_quality_of_odd_rows(spark):
     assert {r.doc_id for r in got if r.held_out} == {k for k, *_ in DOCS if zlib.crc32(b"" if k is None else str(k).encode()) % 5 == 0}
     assert {r.score for r in quality.classify(documents(spark), labels.limit(0)).collect()} == {0.5}
     assert quality.classify(documents(spark).limit(0), labels).count() == 0
+
+
+def test_words_of_one_frequency_fill_the_table_in_part(spark):
+    rng = np.random.default_rng(4)
+    words = rng.integers(-(1 << 62), 1 << 62, 4000)
+    rows = [(int(w), int(w) % hmm.CLASSES, 7) for w in words]
+    counts = spark.createDataFrame(rows, "w long, kind int, n long")
+    found = hmm.vocabulary(counts, 100, 1000)
+    assert 800 < len(found.known) < 1200 and set(found.known.view(np.int64)) <= set(words.tolist()) and (found.symbol >= 0).sum() == 100
+    assert len(hmm.vocabulary(counts, 100, 10**6).known) == 4000
+    more = counts.union(spark.createDataFrame([(5, 0, 900), (6, 1, 800)], counts.schema))
+    assert {5, 6} <= set(hmm.vocabulary(more, 100, 1000).known.tolist())
+    assert len(hmm.vocabulary(counts.limit(0), 100, 1000).known) == 0

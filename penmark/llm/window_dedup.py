@@ -6,7 +6,8 @@ the sketches are merged in Spark (two levels, so no task holds more than the roo
 broadcast. Its estimates are never below the number of equal windows. Pass two keeps the groups of windows whose estimate is two
 or more, which loses no repeated window, and groups exactly:
 
-* by *context* (all words of a group's windows): where a smaller document has the same context, every window is repeated;
+* by *context* (all words of a group's windows): where a smaller document has the same context, every window is repeated. A context of more than
+  one in ``HOT`` groups (there are fewer than ``HOT``) is looked up where its groups are, and neighbouring groups become one run;
 * within an anchor's bucket that holds several contexts, window by window, each context once.
 
 Identifiers have 128 bits. Hot windows are counted with partial aggregations and joined back; no group meets in one task.
@@ -35,6 +36,7 @@ from penmark.llm.common import (
 
 SIZE, GRAM = 50, 20
 BITS, DEPTH = 24, 3
+HOT = 1000
 _BLOCK = 1 << 16  # cells of a block of the sketch
 KEY = ["__k1", "__k2"]
 CONTEXT = ["gram", "c1", "c2"]
@@ -129,6 +131,30 @@ def _candidates(size: int, gram: int, bits: int, depth: int, sketch: Broadcast):
     return run
 
 
+def _split_hot(hot: list[tuple[int, int, int, int]], runs: bool):
+    """``hot`` has contexts with their smallest document. Groups of such a context in a larger document: the runs of starts they make
+    (``runs``), or all groups but these."""
+    gram, c1, c2, first = np.array(sorted(hot, key=lambda h: h[1]), np.int64).reshape(-1, 4).T
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {c: batch.column(c).to_numpy() for c in batch.schema.names}
+            at = np.minimum(np.searchsorted(c1, column["c1"]), len(c1) - 1)
+            same = (c1[at] == column["c1"]) & (c2[at] == column["c2"]) & (gram[at] == column["gram"])
+            settled = same & (column["__k1"] > first[at])
+            if not runs:
+                yield batch.filter(pa.array(~settled))
+                continue
+            k1, k2, lo, n = (column[c][settled] for c in (*KEY, "lo", "n"))
+            if len(lo):
+                apart = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (lo[1:] != lo[:-1] + n[:-1])
+                heads, tails = np.append(True, apart), np.append(apart, True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (k1[heads], k2[heads], lo[heads], (lo + n - 1)[tails])], names=["__k1", "__k2", "lo", "hi"])
+
+    return run
+
+
 def _windows(size: int):
     """Identifiers of the windows of the groups listed with each text."""
 
@@ -158,7 +184,11 @@ def repeated_starts(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: i
     texts = keyed(docs).select(*KEY, "text").where(F.octet_length("text") >= 2 * size - 1)
     sketch = merged_sketch(texts, size, gram, bits, depth)
     groups = store(arrow(texts, _candidates(size, gram, bits, depth, sketch), _GROUP), "op8-groups")
-    contexts = store(groups.groupBy(*CONTEXT).agg(F.min(F.struct(*KEY, "lo", "n", "off")).alias("first")), "op8-contexts")
+    contexts = groups.groupBy(*CONTEXT).agg(
+        F.min(F.struct(*KEY, "lo", "n", "off")).alias("first"), F.max("__k1").alias("last"), F.count(F.lit(1)).alias("times"))
+    contexts = store(contexts, "op8-contexts")
+    total = contexts.agg(F.sum("times")).first()[0] or 0
+    hot = contexts.where("first.__k1 < last").where(F.col("times") * HOT > total).select(*CONTEXT, "first.__k1").collect()
     mixed = (
         contexts.groupBy("gram").agg(F.min("first.__k1").alias("a"), F.max("first.__k1").alias("b")).where("a < b").select("gram")
     )
@@ -177,12 +207,14 @@ def repeated_starts(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bits: i
         windows.join(earliest.select("gram", "window", "a"), ["gram", "window"]).where("a < first")
         .groupBy(*CONTEXT).agg(F.collect_set("step").alias("steps"))
     )
-    marked = groups.join(contexts.select(*CONTEXT, F.col("first.__k1").alias("first")), CONTEXT)
+    rest = arrow(groups, _split_hot(hot, runs=False), _GROUP) if hot else groups
+    marked = rest.join(contexts.select(*CONTEXT, F.col("first.__k1").alias("first")), CONTEXT)
     last = F.col("lo") + F.col("n") - 1
     whole = marked.where("__k1 > first").select(*KEY, "lo", last.alias("hi"))
     some = marked.where("__k1 = first").join(partial, CONTEXT).select(*KEY, "lo", F.explode("steps").alias("step"))
     at = F.col("lo") + F.col("step")
-    return whole.unionByName(some.select(*KEY, at.alias("lo"), at.alias("hi")))
+    found = whole.unionByName(some.select(*KEY, at.alias("lo"), at.alias("hi")))
+    return found.unionByName(arrow(groups, _split_hot(hot, runs=True), "__k1 long, __k2 long, lo long, hi long")) if hot else found
 
 
 def _cut(size: int, rewrite: bool = False):

@@ -76,6 +76,17 @@ def test_repeated_windows(spark, size, gram):
     assert [bytes(got[k].kept) for k, _ in rows] == words_left(rows, size)
 
 
+@pytest.mark.parametrize("hot", [1, 20, 10**9])
+def test_hot_contexts_change_no_result(spark, monkeypatch, hot):
+    monkeypatch.setattr(window_dedup, "HOT", hot)
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(i, f"a{i} b{i} {shared} c{i % 3} d{i}" + (f" {shared}" if i % 4 == 0 else "")) for i in range(60)]
+    rows += [(7, rows[3][1]), (None, rows[5][1]), rows[9]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, bytes(r.kept)) for r in window_dedup.remove_repeats(docs, 12, 5, bits=10).collect())
+    assert got == sorted((k is None, k or 0, left) for (k, _), left in zip(rows, words_left(rows, 12)))
+
+
 def test_odd_rows(spark):
     texts = [r[1] for r in DOCS]
     got = suffix_dedup.remove_repeats(documents(spark), 30, 9).collect()

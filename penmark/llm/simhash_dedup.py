@@ -6,14 +6,15 @@
 3. *Embedding*: the bits set in each of 32 segments of two bits make a point of a grid. The Manhattan distance of two points is never
    more than the Hamming distance of the fingerprints, so links (two bits or fewer) lie within two steps of each other.
 4. *Range join*: two points within two steps have a grid point within one step of both. Every fingerprint is put on its grid point and
-   the up to 64 around it; a fingerprint that meets no other has no link and is done. Nothing else is lost or ruled out here.
-5. *Exact check*: two fingerprints differ in two bits or fewer exactly if one flipped bit (or none) in each makes them equal. The
-   fingerprints left are put on their 65 such values; all that meet on a value are linked to the smallest there. So no pairs of a
-   group are listed, and what is linked is linked in truth.
-6. *Components* over classes, then the smallest ``doc_id`` of each.
-
-Rows: about 49 for each distinct fingerprint and 65 for each that met another, both only counted or reduced to a minimum, so hot grid
-points shrink before they are shuffled. A null ``doc_id`` takes part and never names a component if there is another id.
+   the up to 64 around it. Those that meet on a grid point are within two steps of each other: they are the candidates.
+5. *Exact check*: the candidates of a grid point with at most ``CELL`` fingerprints are compared pair by pair and linked if they differ in
+   two bits or fewer.
+6. *Hot grid points* list no pairs. Two fingerprints differ in two bits or fewer exactly if one flipped bit (or none) in each makes them
+   equal. The fingerprints of such a point are put on their 65 such values; all that meet on a value are linked to the smallest there.
+7. *Components* over classes, then the smallest ``doc_id`` of each.
+
+Rows: about 49 for each distinct fingerprint, of which only those that met another are kept; 65 more for each on a hot grid point. Pairs are
+at most ``CELL / 2`` for each place of a fingerprint. A null ``doc_id`` takes part and never names a component if there is another id.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from penmark.llm.components import components
 
 WORDS, SEED, SEGMENTS = 3, 42, 32
 MAX_BITS = 2
+CELL = 16  # fingerprints of a grid point that are compared pair by pair; more are linked by flipped bits
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -88,15 +90,23 @@ def _grid_points(segments: int = SEGMENTS) -> Column:
     return F.array_compact(F.array(own, *up, *down))
 
 
-def links(prints: DataFrame) -> DataFrame:
+def links(prints: DataFrame, cell: int = CELL) -> DataFrame:
     """``a, b``: links between distinct fingerprints that differ in one or two bits, enough to join what is connected."""
     points = prints.select("fp", F.explode(_grid_points()).alias("point"))
-    met = points.groupBy("point").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x < y").select("point")
-    near = points.join(met.hint("merge"), "point", "left_semi").select("fp").distinct()
+    met = points.groupBy("point").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    placed = store(points.join(met.hint("merge"), "point"), "op10-placed")
+    few = placed.where(F.col("size") <= cell).groupBy("point").agg(F.collect_list("fp").alias("fps"))
+    close = F.filter("fps", lambda b: (b < F.col("a")) & (F.bit_count(F.col("a").bitwiseXOR(b)) <= MAX_BITS))
+    near = few.select(F.explode("fps").alias("a"), "fps").select("a", F.explode(close).alias("b"))
+    return near.unionByName(_flipped(placed.where(F.col("size") > cell).select("fp").distinct())).distinct()
+
+
+def _flipped(prints: DataFrame) -> DataFrame:
+    """Links as above without listing pairs: each fingerprint to the smallest that one flipped bit, or none, in each makes equal."""
     flips = [F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64))]
-    values = store(near, "op10-near").select("fp", F.explode(F.array(*flips)).alias("value"))
+    values = store(prints, "op10-hot").select("fp", F.explode(F.array(*flips)).alias("value"))
     least = values.groupBy("value").agg(F.min("fp").alias("b"), F.max("fp").alias("y")).where("b < y").select("value", "b")
-    return values.join(least.hint("merge"), "value").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    return values.join(least.hint("merge"), "value").where("fp <> b").select(F.col("fp").alias("a"), "b")
 
 
 def _signed(x: int) -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ def plain_fingerprint(text: str | None) -> int:
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_links_are_exact(spark):
+@pytest.mark.parametrize("cell", [1, 4, simhash_dedup.CELL])
+def test_links_are_exact(spark, cell):
     rng = random.Random(3)
     prints = {rng.getrandbits(64) for _ in range(150)}
     for f in list(prints)[:80]:
@@ -52,7 +54,7 @@ def test_links_are_exact(spark):
     prints |= {0, 1, 3, (1 << 64) - 1, (1 << 64) - 2, 1 << 63, 3 << 62}
     nodes = sorted(map(signed, prints))
     want = roots(nodes, lambda a, b: ((a ^ b) % (1 << 64)).bit_count() <= 2)
-    got = components(simhash_dedup.links(spark.createDataFrame([(n,) for n in nodes], "fp long"))).collect()
+    got = components(simhash_dedup.links(spark.createDataFrame([(n,) for n in nodes], "fp long"), cell)).collect()
     assert {(r.a, r.b) for r in got} == {(n, r) for n, r in want.items() if n != r}
 
 
@@ -113,6 +115,21 @@ def test_nearest_against_brute_force(spark):
     assert nearest.nearest(data.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [(0, rng.normal(size=4)) for _ in range(31)] + [(i, rng.normal(size=4)) for i in range(1, 60)]
+    rows += [rows[0], rows[0], (20, rows[0][1])]  # copies under its own and another id
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in rows]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in nearest.nearest(data, F.col("vec_id") % 20 == 0).collect())
+    want = []
+    for at, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            others = sorted((-float(np.dot(v, w)), i) for j, (i, w) in enumerate(rows) if j != at)[:20]
+            want += [(q, rank + 1, i, round(-far, 9)) for rank, (far, i) in enumerate(others)]
+    assert got == sorted(want)
+
+
 def test_blocks_grow_with_the_table():
     assert nearest.block_size(1000) == nearest.BLOCK
     rng = np.random.default_rng(4)

@@ -11,7 +11,8 @@
 5. The best of all orderings are merged and ranked, copies are named, the query itself left out. Ties go to the smaller id.
 
 Recall depends on the share of the table that the blocks of all orderings hold and on how far the data is from isotropic; the README has measured
-values. Null ids are not indexed and not queried. Repeated ids: each row is a candidate. Further columns are ignored.
+values. Null ids are not indexed and not queried. Repeated ids: each row is a candidate and, if its id is asked for, a query of its own, which
+leaves out one row only, itself. Vectors of a length other than the commonest have no inner product with the rest. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -138,8 +139,8 @@ def nearest(vectors: DataFrame, asked: Column, k: int = K, orderings: int = ORDE
     named = rows.withColumn("_n", first).where(F.col("_n") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("members"))
     asking = rows.where(asked).groupBy("v").agg(F.count(F.lit(1)).alias("asks"))
     classes = named.join(asking, "v", "left").select(
-        F.col("members")[0].alias("rep"), "v", "members", F.col("asks").isNotNull().alias("asks"))
-    classes = store(classes, "op6-classes")
+        F.monotonically_increasing_id().alias("rep"), "v", "members", F.col("asks").isNotNull().alias("asks"))
+    classes = store(classes, "op6-classes")  # numbered once: the numbers of the classes are read from here
     n, dims, largest, mean = _moments(classes)
     keys = arrow(classes.select("rep", "v", "asks"), _keys(dims, largest, math.sqrt(mean) or 1.0, orderings, bits), "t int, key long, rep long, query boolean")
     keys = positions(store(keys, "op6-keys"), [F.col("t"), F.col("key"), F.col("rep"), F.col("query")], "pos")
@@ -153,14 +154,17 @@ def nearest(vectors: DataFrame, asked: Column, k: int = K, orderings: int = ORDE
     placed = placed.withColumn("part", F.explode(part))
     found = placed.join(classes.select("rep", "v"), "rep").groupBy("t", "block", "part").applyInArrow(_best(k + 1), "query long, rep long, score double")
     found = store(found.groupBy("query", "rep").agg(F.max("score").alias("score")), "op6-found")
-    by_class = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    top = found.withColumn("_n", F.row_number().over(by_class)).where(F.col("_n") <= k + 1).drop("_n")
-    top = top.join(classes.select("rep", "members"), "rep").select("query", "score", F.explode("members").alias("vec_id"))
+    of_class = classes.select("rep", F.col("members")[0].alias("least"))
+    by_class = Window.partitionBy("query").orderBy(F.desc("score"), "least")
+    top = found.join(of_class, "rep").withColumn("_n", F.row_number().over(by_class)).where(F.col("_n") <= k + 1).drop("_n", "least")
+    top = top.join(classes.select("rep", "members"), "rep").select("query", "rep", "score", F.explode("members").alias("vec_id"))
     ids = rows.where(asked).join(classes.select("rep", "v"), "v").select(F.col("rep").alias("query"), F.col("vec_id").alias("query_id"))
     # A query needs the k + 1 best members of its class only; they are cut before the classes meet the queries.
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     top = top.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).groupBy("query").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))).alias("near"))
-    others = F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))
-    answer = ids.join(top, "query").select("query_id", F.posexplode(F.slice(others, 1, k)).alias("rank", "x"))
+        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "rep"))).alias("near"))
+    own = F.transform("near", lambda x: (x["vec_id"] == F.col("query_id")) & (x["rep"] == F.col("query")))
+    answer = ids.join(top, "query").withColumn("_own", F.array_position(own, True) - 1)
+    others = F.filter("near", lambda x, i: i != F.col("_own"))
+    answer = answer.select("query_id", F.posexplode(F.slice(others, 1, k)).alias("rank", "x"))
     return answer.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "x.vec_id", (-F.col("x.far")).alias("score"))

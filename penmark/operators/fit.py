@@ -1,46 +1,32 @@
-"""Classifiers and word vectors with Spark ML."""
+"""Classifiers with Spark ML, over hashed words or trained word vectors."""
 
 from __future__ import annotations
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import IDF, HashingTF, Word2Vec, Word2VecModel
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from penmark.functions.ids import SEED
-from penmark.functions.rows import one_per_item
 from penmark.functions.scoring import argmax, class_name
 from penmark.operators.history import best_checkpoints
 from penmark.operators.score import accuracy
+from penmark.operators.word_vectors import WordVectors, train_vectors
 
 TARGET = "human_wrote"
-# Spark keeps the vectors of all words in one array on the driver.
-MAX_VECTOR_CELLS = 2**31 - 1
-
-
-def word2vec(dims: int, min_count: int, epochs: int, seed: int = SEED, parts: int = 8) -> Word2Vec:
-    """``parts`` tasks train side by side and their vectors are averaged; raise it, and
-    the epochs with it, for a large corpus (Spark's default is a single task)."""
-    return Word2Vec(
-        vectorSize=dims, minCount=min_count, maxIter=epochs, seed=seed, numPartitions=parts,
-        inputCol="tokens", outputCol="features",
-    )
 
 
 def train_word_vectors(
-    df: DataFrame, dims: int = 32, min_count: int = 5, epochs: int = 1, seed: int = SEED, parts: int = 8
-) -> Word2VecModel:
-    """Word vectors of a token table; refuses a vocabulary Spark ML cannot hold."""
-    words = one_per_item(df, [], "tokens", "word").groupBy("word").count()
-    kept = words.where(F.col("count") >= min_count).count()
-    if kept * dims > MAX_VECTOR_CELLS:
-        raise ValueError(f"{kept} words of {dims} dimensions are too many: raise min_count")
-    return word2vec(dims, min_count, epochs, seed, parts).fit(df)
+    df: DataFrame, dims: int = 32, min_count: int = 5, epochs: int = 1, seed: int = SEED, parts: int | None = None, key: str = "text_id"
+) -> DataFrame:
+    """``word, vec`` of a token table, trained in ``parts`` blocks of words (as many as the vocabulary needs)."""
+    vectors, _ = train_vectors(df, key, dims, min_count, epochs, blocks=parts, seed=seed)
+    return vectors.select("word", "vec")
 
 
-def _tfidf_lr(epochs: int, step: float, seed: int, slots: int, parts: int) -> Pipeline:
+def _tfidf_lr(epochs: int, step: float, seed: int, slots: int) -> Pipeline:
     # Hashing needs no vocabulary, so the driver holds ``slots`` weights whatever the corpus.
     return Pipeline(stages=[
         HashingTF(inputCol="tokens", outputCol="counts", numFeatures=slots),
@@ -49,16 +35,16 @@ def _tfidf_lr(epochs: int, step: float, seed: int, slots: int, parts: int) -> Pi
     ])
 
 
-def _w2v_lr(epochs: int, step: float, seed: int, slots: int, parts: int) -> Pipeline:
+def _w2v_lr(epochs: int, step: float, seed: int, slots: int) -> Pipeline:
     return Pipeline(stages=[
-        word2vec(32, 5, 1, seed, parts),
+        WordVectors(seed=seed),
         LogisticRegression(labelCol=TARGET, maxIter=epochs, regParam=step),
     ])
 
 
-def _w2v_mlp(epochs: int, step: float, seed: int, slots: int, parts: int) -> Pipeline:
+def _w2v_mlp(epochs: int, step: float, seed: int, slots: int) -> Pipeline:
     return Pipeline(stages=[
-        word2vec(32, 5, 1, seed, parts),
+        WordVectors(seed=seed),
         MultilayerPerceptronClassifier(
             labelCol=TARGET, layers=[32, 16, 2], maxIter=epochs, stepSize=step, solver="gd", seed=seed
         ),
@@ -69,14 +55,14 @@ FAMILIES = {"tfidf_lr": _tfidf_lr, "w2v_lr": _w2v_lr, "w2v_mlp": _w2v_mlp}
 
 
 def classifier(
-    family: str, epochs: int = 10, step: float = 1e-2, seed: int = SEED, slots: int = 2**18, parts: int = 8
+    family: str, epochs: int = 10, step: float = 1e-2, seed: int = SEED, slots: int = 2**18
 ) -> Pipeline:
     """An unfitted text classifier. ``step`` is the penalty of the regressions and the
-    learning rate of the network; ``slots`` the hash slots of words; ``parts`` the tasks
-    that train word vectors. Raise both for a large corpus."""
+    learning rate of the network; ``slots`` the hash slots of words. Families on word
+    vectors need ``text_id``, one value a text."""
     if family not in FAMILIES:
         raise ValueError(f"unknown model family {family!r}; one of {sorted(FAMILIES)}")
-    return FAMILIES[family](epochs, step, seed, slots, parts)
+    return FAMILIES[family](epochs, step, seed, slots)
 
 
 def fit(df: DataFrame, family: str, **settings) -> Model:

@@ -3,7 +3,6 @@ queries have no SQL check; tests cover their rules."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from penmark.functions import tokens as tk
@@ -11,6 +10,7 @@ from penmark.operators import fit, score as s, train
 from penmark.operators.encode import token_targets
 from penmark.operators.history import best_checkpoints
 from penmark.operators.split import split_by_hash
+from penmark.operators.word_vectors import train_vectors
 from penmark.plans import views as v
 from penmark.plans.registry import query
 from penmark.plans.sql import with_views
@@ -41,12 +41,27 @@ def _kept(spark, sf_dir, family="tfidf_lr"):
     return fit.load(_KEPT[key])
 
 
+def _vectors(spark, sf_dir):
+    rows = labelled_tokens(spark, sf_dir).select("text_id", "tokens").persist()
+    try:
+        return train_vectors(rows)
+    finally:
+        rows.unpersist()
+
+
 @query("train_word_vectors")
 def train_word_vectors(spark, sf_dir):
-    rows = labelled_tokens(spark, sf_dir).select("tokens").persist()
-    model = fit.train_word_vectors(rows)
-    rows.unpersist()
-    return model.getVectors().select("word", vector_to_array("vector").alias("vec"))
+    return _vectors(spark, sf_dir)[0].select("word", "vec")
+
+
+@query("word_vector_table", with_views("""
+    SELECT word, n, 32 AS dims, true AS finite FROM (
+        SELECT word, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM tokens) GROUP BY word) WHERE n >= 5""", "tokens"))
+def word_vector_table(spark, sf_dir):
+    """What trained vectors say whatever their values: every word that is frequent enough, once, with a whole finite vector."""
+    vectors, _ = _vectors(spark, sf_dir)
+    finite = F.forall("vec", lambda x: x.isNotNull() & (F.abs(x) < 1e6))
+    return vectors.select("word", "n", F.size("vec").alias("dims"), finite.alias("finite"))
 
 
 @query("fit_classifier")

@@ -55,18 +55,14 @@ def test_selection_keeps_the_first_of_equals(rows):
     assert [x["epoch"] for x in kept] == [0]
 
 
-def test_word_vectors_refuse_what_spark_ml_cannot_hold(rows):
-    with pytest.raises(ValueError):
-        fit.train_word_vectors(rows, dims=2**30, min_count=1)
-
-
 def test_word_vectors(rows):
-    model = fit.train_word_vectors(rows, dims=4, min_count=1)
-    assert model.getVectors().count() == 8
+    vectors = fit.train_word_vectors(rows, dims=4, min_count=1)
+    assert vectors.columns == ["word", "vec"] and {len(r.vec) for r in vectors.collect()} == {4} and vectors.count() == 8
 
 
-def test_a_saved_model_scores_as_before(rows):
-    model = fit.fit(rows.where("split = 'train'"), "tfidf_lr")
-    again = fit.load(fit.save(model, fresh_dir(rows.sparkSession, "models"), "tfidf_lr"))
+@pytest.mark.parametrize("family", ["tfidf_lr", "w2v_lr"])
+def test_a_saved_model_scores_as_before(rows, family):
+    model = fit.fit(rows.where("split = 'train'"), family)
+    again = fit.load(fit.save(model, fresh_dir(rows.sparkSession, "models"), family))
     one, two = (sorted(map(str, fit.score(rows, m).select("text_id", "prediction", "confidence").collect())) for m in (model, again))
     assert one == two

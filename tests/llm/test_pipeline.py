@@ -5,6 +5,8 @@ from __future__ import annotations
 import collections
 import random
 
+import pytest
+
 import corpus_pipeline
 from penmark.llm import decontaminate, similar
 from penmark.llm.common import store
@@ -130,6 +132,24 @@ def test_near_copies_of_the_stage(spark, sf_dir):
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, table, sf_dir).collect()) == want
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_near_copies_that_share_their_changes(spark, rounds):
+    """Copies of one text without that text, most pairs just above or just below the similarity; also sizes apart by up to a quarter."""
+    rng = random.Random(5)
+    base, docs = [f"w{i}" for i in range(70)], []
+    for k in range(90):
+        text = list(base)
+        for _ in range(rng.randint(2, 4)):
+            i = rng.randrange(0, 70, 7)  # few places and few words, so changes are shared
+            text[i] = f"x{i}-{rng.randrange(2)}"
+        cut = rng.choice([0, 0, 0, 6, 12])
+        docs.append((k, " ".join(text[cut:]) + "".join(f" y{k % 9}" for _ in range(rng.choice([0, 0, 3, 9])))))
+    table = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    want = plain_kept(docs)
+    assert 8 < len(want) < 70
+    assert sorted(r.doc_id for r in similar.keep_one(table.repartition(3), rounds).collect()) == want
+
+
 def test_near_copies_of_odd_rows(spark):
     kept = sorted(similar.keep_one(documents(spark)).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
     docs = [(float("inf") if k is None else k, t) for k, t, *_ in DOCS]

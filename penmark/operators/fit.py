@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
@@ -14,6 +16,7 @@ from penmark.functions.scoring import argmax, class_name
 from penmark.operators.history import best_checkpoints
 from penmark.operators.score import accuracy
 from penmark.operators.word_vectors import WordVectors, train_vectors
+from penmark.session import fresh_dir
 
 TARGET = "human_wrote"
 
@@ -69,6 +72,25 @@ def fit(df: DataFrame, family: str, **settings) -> Model:
     return classifier(family, **settings).fit(df)
 
 
+def fit_each(df: DataFrame, families: list[str], **settings) -> Iterator[tuple[str, Model]]:
+    """Each family with its model, all on the same rows. Word vectors are trained once for all families that begin with them, and the
+    features made of them are stored."""
+    vectors = ready = None
+    for family in families:
+        whole = classifier(family, **settings)
+        first, *rest = whole.getStages()
+        if not isinstance(first, WordVectors):
+            yield family, whole.fit(df)
+            continue
+        if vectors is None:
+            vectors = first.fit(df)
+            features = vectors.transform(df).select(TARGET, "features")
+            path = fresh_dir(df.sparkSession, "features")
+            features.write.parquet(path)
+            ready = df.sparkSession.read.schema(features.schema).parquet(path)
+        yield family, PipelineModel([vectors, *Pipeline(stages=rest).fit(ready).stages])
+
+
 def save(model: PipelineModel, folder: str, name: str) -> str:
     """Keep a fitted model under its checkpoint name; the catalogue lists it by that name."""
     path = f"{folder}/{name}"

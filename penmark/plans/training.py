@@ -76,8 +76,7 @@ def model_families(spark, sf_dir):
     """Accuracy of each family on the validation split."""
     rows = labelled_tokens(spark, sf_dir).persist()
     found = []
-    for family in sorted(fit.FAMILIES):
-        model = fit.fit(rows.where("split = 'train'"), family)
+    for family, model in fit.fit_each(rows.where("split = 'train'"), sorted(fit.FAMILIES)):
         r = fit.evaluate(rows.where("split = 'val'"), model).first()
         found.append((family, r["correct"], r["total"], r["accuracy"]))
     rows.unpersist()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from penmark.functions import tokens as tk
 from penmark.functions.rows import one_per_item
-from penmark.operators.lookup import BROADCAST_BYTES, lookup
+from penmark.operators.lookup import BROADCAST_BYTES, lookup, lookup_arrays
 from penmark.operators.positions import batches, positions
 
 
@@ -40,18 +41,22 @@ def encode(
     tokens: str = "tokens",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Replace each token by its index + 1, unknown tokens by 0; order and length stay.
+    """Replace each token by its index + 1, unknown tokens by 0; order and length stay, no array gives an empty one.
 
-    ``keys`` identify a text and are kept. The tokens of a text leave the lookup next to
-    each other when the vocabulary is broadcast, so they are collected before the shuffle.
+    ``keys`` identify a text and are kept. Tokens do not move one by one: the distinct words of a block of texts are looked up and
+    the arrays are filled in the task of the block.
     """
-    rows = df.select(*keys, F.posexplode_outer(tokens).alias("at", "word"))
     weight = "n" if "n" in vocab.columns else None  # the vocabulary knows its frequent words
     table = vocab.select("word", (F.col("idx") + 1).cast("int").alias("id"), *([weight] if weight else []))
-    found = lookup(rows, table, "word", spread_by=[keys[0], "at"], broadcast_bytes=broadcast_bytes, weight=weight)
-    item = F.when(F.col("at").isNotNull(), F.struct("at", F.coalesce("id", F.lit(tk.PAD)).alias("id")))
-    ordered = F.array_sort(F.collect_list(item))
-    return found.groupBy(*keys).agg(F.transform(ordered, lambda x: x["id"]).alias("ids"))
+    unknown = tk.PAD
+
+    def fill(words: pa.Array, ids: pa.Array, items: pa.Array, counts: np.ndarray) -> pa.Array:
+        found = ids.take(pc.index_in(items, value_set=words))
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pc.fill_null(found, unknown))
+
+    out = T.StructField("ids", T.ArrayType(T.IntegerType()))
+    return lookup_arrays(df, keys, tokens, table, "word", "id", out, fill, broadcast_bytes=broadcast_bytes, weight=weight)
 
 
 def encode_for_training(df: DataFrame, vocab: DataFrame, keys: list[str], literal: str = "text") -> DataFrame:
@@ -106,11 +111,24 @@ def mean_embedding(
 ) -> DataFrame:
     """Mean vector of each text.
 
-    One typed buffer per text, whatever the dimensions; the positions of a text collapse before the shuffle. A text without
-    tokens has the zero vector.
+    The vectors of a block's distinct indexes are looked up and summed in its task, each by how often a text has it; neither
+    positions nor vectors of positions move. A text without tokens has the zero vector.
     """
-    rows = df.select(*keys, F.posexplode_outer("ids").alias("at", "idx"))
-    found = lookup(rows, vectors, "idx", spread_by=[keys[0], "at"], **options)
-    vec = F.coalesce(F.col("vec").cast("array<double>"), F.array_repeat(F.lit(0.0), dims))
-    means = found.groupBy(*keys).agg(Summarizer.mean(array_to_vector(vec)).alias("mean"))
-    return means.withColumn("mean", vector_to_array("mean"))
+
+    def fill(known: pa.Array, vectors: pa.Array, items: pa.Array, counts: np.ndarray) -> pa.Array:
+        held = np.zeros((len(known) + 1, dims))
+        if len(known):
+            held[:-1] = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(known), dims)
+        at = pc.fill_null(pc.index_in(items, value_set=known), len(known)).to_numpy()
+        ends = np.cumsum(counts)
+        means = np.zeros((len(counts), dims))
+        for i, (start, end) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+            if end > start:
+                own, n = np.unique(at[start:end], return_counts=True)
+                means[i] = n @ held[own] / (end - start)
+        offsets = pa.array(np.arange(0, (len(counts) + 1) * dims, dims, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(means.reshape(-1)))
+
+    table = vectors.select(F.col("idx").cast(df.schema["ids"].dataType.elementType), "vec")
+    out = T.StructField("mean", T.ArrayType(T.DoubleType()))
+    return lookup_arrays(df, keys, "ids", table, "idx", "vec", out, fill, **options)

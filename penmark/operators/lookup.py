@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_PARTS = 1000  # a key is hot above 1/1000 of the rows, so there are fewer than 1000
+BLOCK_ROWS = 1024  # rows of a block, on average
 
 
 def _width(field: T.StructField) -> Column:
@@ -67,3 +73,88 @@ def lookup(
         F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values
     ]
     return joined.select(*rows.columns, *chosen)
+
+
+Filled = Callable[[pa.Array, pa.Array, pa.Array, np.ndarray], pa.Array]
+
+
+def _readers():
+    """Made here so that tasks get them by value: executors need not have this package."""
+
+    def runs(batch: pa.RecordBatch, *columns: str) -> Iterator[pa.RecordBatch]:
+        """Parts of a batch in which the columns (numbers or booleans) do not change."""
+        held = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+        new = np.any([x[1:] != x[:-1] for x in held], axis=0) if batch.num_rows else np.zeros(0, bool)
+        ends = [*(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(start, end - start) for start, end in zip([0, *ends], ends) if end > start)
+
+    def items_of(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+        """All items of the rows one after the other, and how many each row has."""
+        lists = part.column("_items")
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        flat = lists.flatten()
+        if "_text" not in part.schema.names:
+            return flat, counts
+        # strings travel as one text a row and the bytes of each
+        text = part.column("_text")
+        start = np.frombuffer(text.buffers()[1], np.int32, 1, text.offset * 4)
+        offsets = np.concatenate((start, start + np.cumsum(pc.fill_null(flat, 0).to_numpy()))).astype(np.int32)
+        held = pa.py_buffer(np.packbits(flat.is_valid().to_numpy(zero_copy_only=False), bitorder="little"))
+        return pa.StringArray.from_buffers(len(flat), pa.py_buffer(offsets), text.buffers()[2] or pa.py_buffer(b""), held), counts
+
+    return runs, items_of
+
+
+def lookup_arrays(
+    df: DataFrame, keys: list[str], items: str, table: DataFrame, key: str, value: str, out: T.StructField, fill: Filled, **options
+) -> DataFrame:
+    """``keys`` of every row, and ``out``: its array ``items`` looked up in ``table`` on ``key``.
+
+    Rows are dealt to blocks by a hash of ``keys``. The distinct items of a block, not its items, meet the table (:func:`lookup`, with
+    ``options``), so a frequent item costs one row a block. What is found comes first in the task of the block and is all that it holds
+    besides one batch of rows; ``fill(found keys, found values, items, items of each row)`` gives the column ``out`` of a batch.
+    """
+    blocks = F.greatest(df.agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).scalar(), F.lit(1))
+    placed = df.select(*keys, F.pmod(F.xxhash64(*keys), blocks).alias("_block"), F.coalesce(items, F.array()).alias("_items"))  # null lists cost time with the square of an Arrow batch
+    kind = df.schema[items].dataType.elementType
+    if isinstance(kind, T.StringType):
+        sizes = F.transform("_items", F.octet_length)
+        placed = placed.withColumns({"_items": sizes, "_text": F.array_join("_items", "")})
+    runs, items_of = _readers()
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, seen = None, None
+        for batch in batches:
+            for part in runs(batch, "_block"):
+                own, found = part.column("_block")[0], pc.unique(items_of(part)[0])
+                if block is not None and own != block:
+                    yield pa.RecordBatch.from_arrays([pa.repeat(block, len(seen)), seen], names=["_block", key])
+                seen = pc.unique(pa.concat_arrays([seen, found])) if own == block else found
+                block = own
+        if block is not None:
+            yield pa.RecordBatch.from_arrays([pa.repeat(block, len(seen)), seen], names=["_block", key])
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, known, joined = None, [], None
+        for batch in batches:
+            for part in runs(batch, "_block", "_held"):
+                if part.column("_block")[0] != block:
+                    block, known, joined = part.column("_block")[0], [part.slice(0, 0)], None
+                if part.column("_held")[0].as_py():
+                    known.append(part)
+                    continue
+                if joined is None:
+                    joined = [pa.concat_arrays([p.column(c) for p in known]) for c in ("_key", "_value")]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(k) for k in keys), fill(*joined, *items_of(part))], names=[*keys, out.name])
+
+    texts = placed.drop(*keys).repartition("_block").sortWithinPartitions("_block")
+    wanted = texts.mapInArrow(distinct, T.StructType([T.StructField("_block", T.LongType()), T.StructField(key, kind)]))
+    found = lookup(wanted.where(F.col(key).isNotNull()), table, key, spread_by=["_block", key], **options)
+    empty = {c: F.lit("") if c == "_text" else F.array().cast(placed.schema[c].dataType) for c in ("_items", "_text") if c in placed.columns}
+    held = found.where(F.col(value).isNotNull()).select(
+        "_block", F.col(key).alias("_key"), F.col(value).alias("_value"), *[x.alias(c) for c, x in empty.items()], F.lit(True).alias("_held"))
+    none = F.array().cast(table.schema[value].dataType) if isinstance(table.schema[value].dataType, T.ArrayType) else F.lit(None)
+    rows = held.unionByName(placed.withColumns({"_value": none, "_held": F.lit(False)}), allowMissingColumns=True)
+    rows = rows.repartition("_block").sortWithinPartitions("_block", F.desc("_held"))
+    return rows.mapInArrow(filled, T.StructType([*(T.StructField(k, df.schema[k].dataType) for k in keys), out]))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from penmark.functions import naming
 from penmark.functions.scoring import fixed
 from penmark.operators.positions import positions
+from penmark.session import materialise
+
+MENU = {"accuracy": "accuracy", "time": "timestamp", "name": "name", "size": "size_mb"}  # the column of each order
 
 
 def catalogue(files: DataFrame) -> DataFrame:
@@ -38,6 +43,16 @@ def ranked(models: DataFrame, order: list[Column] | None = None) -> DataFrame:
     return positions(models, order or best_first(), "rank")
 
 
+def ranked_each(models: DataFrame) -> DataFrame:
+    """``sort_by, path, rank``: every order of the menu. Names are read once and stored; a sort moves its own column and the path only."""
+    read = materialise(models.select("path", *MENU.values()))
+    each = [
+        ranked(read.select("path", column), order_of(choice)).select(F.lit(choice).alias("sort_by"), "path", "rank")
+        for choice, column in MENU.items()
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
 def best(models: DataFrame) -> DataFrame:
     return models.orderBy(*best_first()).limit(1)
 

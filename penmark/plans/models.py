@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from penmark.functions import naming
 from penmark.operators import history as h, registry as g
@@ -115,12 +113,7 @@ _CHOICES = {
     f"SELECT '{choice}' AS sort_by, path, row_number() OVER (ORDER BY {order}, path) - 1 AS rank FROM models"
     for choice, order in _CHOICES.items()), "models"))
 def registry_sorted(spark, sf_dir):
-    rows = models(spark, sf_dir)
-    each = [
-        g.ranked(rows, g.order_of(choice)).select(F.lit(choice).alias("sort_by"), "path", "rank")
-        for choice in _CHOICES
-    ]
-    return reduce(DataFrame.unionByName, each)
+    return g.ranked_each(models(spark, sf_dir))
 
 
 @query("checkpoint_name", with_views("""

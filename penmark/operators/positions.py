@@ -60,18 +60,15 @@ def dense_ids(df: DataFrame, order: list[str], chunk: list[str], name: str) -> D
     ``chunk`` must be a coarse prefix of the order, its last column an integer,
     with a bounded number of rows in each value (a file, ``chunk_of(position)`` of unique
     positions, the head of a hash). Rows are numbered
-    inside their chunk and shifted by the size of the chunks before; both the numbering
-    and the join need the rows placed by chunk, so they move once.
+    inside their chunk and shifted by the size of the chunks before. That size is one more row of
+    the chunk, its first: so the rows move once, and meet no join that would deal them again.
     """
     sizes = df.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_n"))
-    first = _first_of_each(sizes, chunk)
-    inside = Window.partitionBy(*chunk).orderBy(*order)
-    numbered = df.withColumn("_at", F.row_number().over(inside))
-    return (
-        _join(numbered, first, chunk)
-        .withColumn(name, F.col("_first") + F.col("_at") - 1)
-        .drop("_at", "_first")
-    )
+    first = _first_of_each(sizes, chunk).withColumn("_row", F.lit(False))
+    rows = df.withColumn("_row", F.lit(True)).unionByName(first, allowMissingColumns=True)
+    along = Window.partitionBy(*chunk).orderBy("_row", *order)
+    numbered = rows.withColumns({"_at": F.row_number().over(along), "_before": F.max("_first").over(along.rowsBetween(Window.unboundedPreceding, 0))})
+    return numbered.where("_row").withColumn(name, F.col("_before") + F.col("_at") - 2).drop("_row", "_first", "_at", "_before")
 
 
 def positions(df: DataFrame, order: list[Column], name: str) -> DataFrame:

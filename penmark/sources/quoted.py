@@ -49,13 +49,16 @@ def read_quoted(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Data
     pieces = opened.withColumn("start", start).groupBy(*SPLIT, "start").agg(
         _joined(F.collect_list(F.struct("place", "line"))).alias("line")
     )
-    # a fragment goes to the last record that began in an earlier split of its file
+    # a fragment goes to the last record that began in an earlier split of its file, which is the last of its split:
+    # records meet their fragment where they are, by split
     last = pieces.groupBy(*SPLIT).agg(F.max("start").alias("start"))
-    owner = last.select(*SPLIT, F.max("start").over(along).alias("owner"))
-    fragments = pieces.where(F.col("start").isNull()).join(owner, SPLIT).groupBy("src_file", F.col("owner").alias("start")).agg(
-        _joined(F.collect_list(F.struct(F.col("block").alias("place"), "line"))).alias("rest")
-    )
-    whole = pieces.where(F.col("start").isNotNull()).join(fragments, ["src_file", "start"], "left")
+    began = F.when(F.col("start").isNotNull(), F.struct("start", F.col("block").alias("owner_block")))
+    owner = last.select(*SPLIT, F.max(began).over(along).alias("owner"))
+    fragments = pieces.where(F.col("start").isNull()).join(owner, SPLIT).where("owner IS NOT NULL").groupBy(
+        "src_file", F.col("owner.owner_block").alias("block"), F.col("owner.start").alias("owner")
+    ).agg(_joined(F.collect_list(F.struct(F.col("block").alias("place"), "line"))).alias("rest"))
+    whole = pieces.where(F.col("start").isNotNull()).join(fragments, SPLIT, "left")
+    whole = whole.withColumn("rest", F.when(F.col("start") == F.col("owner"), F.col("rest")))
     text = F.concat_ws("\n", "line", "rest")
     record = F.when(F.col("line").isNotNull(), text)
     if encoding != "UTF-8":

@@ -20,7 +20,6 @@ at most ``CELL / 2`` for each place of a fingerprint. A null ``doc_id`` takes pa
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -74,29 +73,37 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return arrow(rows, run, "__k1 long, __k2 long, doc_id long, fp long")
 
 
-def _grid_points(segments: int = SEGMENTS) -> Column:
-    """The grid point of ``fp`` and those one step away, each as one number with a field per segment."""
-    width = 64 // segments
-    counts = [F.bit_count(F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1))) for i in range(segments)]
-    own = reduce(Column.bitwiseOR, [F.shiftleft(c.cast("long"), width * i) for i, c in enumerate(counts)])
+_LOW = 0x5555555555555555  # the lower bit of every field
+
+
+def _points(prints: DataFrame) -> DataFrame:
+    """``fp, point``: the grid point of each ``fp`` and those one step away, as one number with a field of two bits for each segment of two.
+
+    The counts of all segments are made at once: the field's upper bit if both are set, its lower bit if one is. A step up or down is
+    a change of the field by one or by three in binary."""
+    next_ = F.shiftrightunsigned("fp", 1)
+    both, one = F.col("fp").bitwiseAND(next_).bitwiseAND(F.lit(_LOW)), F.col("fp").bitwiseXOR(next_).bitwiseAND(F.lit(_LOW))
+    own = prints.select("fp", F.shiftleft(both, 1).bitwiseOR(one).alias("_own"))  # a column, so that it is made once
 
     def moved(i: int, by: int) -> Column:
-        """The own point with one more or one less in a segment."""
-        return own.bitwiseXOR(F.shiftleft(counts[i].bitwiseXOR(counts[i] + by).cast("long"), width * i))
+        """The own point with the field changed, where its count allows."""
+        count = F.shiftrightunsigned("_own", 2 * i).bitwiseAND(F.lit(3))
+        allowed = count <= 1 if by == 1 else count >= 1
+        return F.when(allowed, F.col("_own").bitwiseXOR(F.lit(_signed(by << 2 * i))))
+
+    around = [moved(i, by) for i in range(SEGMENTS) for by in (1, 3)]
+    return own.select("fp", F.explode(F.array("_own", *around)).alias("point")).where("point IS NOT NULL")
 
-    up = [F.when(c < width, moved(i, 1)) for i, c in enumerate(counts)]
-    down = [F.when(c > 0, moved(i, -1)) for i, c in enumerate(counts)]
-    # Two bits hold the counts 0 to 2 of two bits; wider segments would need a wider field.
-    return F.array_compact(F.array(own, *up, *down))
 
+def links(prints: DataFrame, cell: int = CELL, bits: int = MAX_BITS) -> DataFrame:
+    """``a, b``: links between distinct fingerprints that differ in one or two bits, enough to join what is connected.
 
-def links(prints: DataFrame, cell: int = CELL) -> DataFrame:
-    """``a, b``: links between distinct fingerprints that differ in one or two bits, enough to join what is connected."""
-    points = prints.select("fp", F.explode(_grid_points()).alias("point"))
+    With more ``bits``, also pairs that differ in so many and meet on a grid point that is not hot: candidates of a check that follows."""
+    points = _points(prints)
     met = points.groupBy("point").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     placed = store(points.join(met.hint("merge"), "point"), "op10-placed")
     few = placed.where(F.col("size") <= cell).groupBy("point").agg(F.collect_list("fp").alias("fps"))
-    close = F.filter("fps", lambda b: (b < F.col("a")) & (F.bit_count(F.col("a").bitwiseXOR(b)) <= MAX_BITS))
+    close = F.filter("fps", lambda b: (b < F.col("a")) & (F.bit_count(F.col("a").bitwiseXOR(b)) <= bits))
     near = few.select(F.explode("fps").alias("a"), "fps").select("a", F.explode(close).alias("b"))
     return near.unionByName(_flipped(placed.where(F.col("size") > cell).select("fp").distinct())).distinct()
 

@@ -3,11 +3,13 @@
 1. *Shingles*: words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case, five in a row (fewer words: all of them), hashed to 64 bits.
 2. *Classes*: texts with one set of shingles (128-bit digest) are one class from here on, so a group of copies is one row. Null, empty and
    blank texts have no shingles and are one class.
-3. *Candidates*: ``BANDS`` bands of ``ROWS`` min-hashes each. Two sets agree in a band with a chance of ``J ** ROWS``; a pair of exactly 0.8 is missed
-   in all bands with a chance of 5e-8, a more similar one more rarely. 64-bit SimHashes of such pairs are 3 to 12 bits apart and more, which no
-   grid of popcounts separates from unrelated texts; bands do.
-4. *Exact check*: both texts are read and the similarity is counted. Only links that pass are kept.
-5. *Few pairs*: in each of ``ROUNDS`` rounds every member of a band is compared with one centre, the member that meets most others in all its
+3. *Range join*: the 64-bit SimHash of the shingles is put on operator 10's grid of segment popcounts (:func:`simhash_dedup.links`). Classes that
+   meet there and differ in at most ``BITS`` bits are the first candidates; those of one fingerprint meet its smallest class.
+4. *The rest*: pairs of exactly 0.8 are about 10 bits apart, and few such lie within two steps of the grid; no wider grid of popcounts
+   separates them from unrelated texts. So what the range join leaves apart meets in ``BANDS`` bands of ``ROWS`` min-hashes. Two sets agree in a
+   band with a chance of ``J ** ROWS``; a pair of exactly 0.8 is missed in all bands with a chance of 5e-8, a more similar one more rarely.
+5. *Exact check*: both texts are read and the similarity is counted. Only links that pass are kept.
+6. *Few pairs*: in each of ``ROUNDS`` rounds every member of a band is compared with one centre, the member that meets most others in all its
    bands, unless both are in one component already; the centre has then met all of its band and leaves it. Pairs stay linear in members,
    and the centre of a group of near copies joins it. Members of a band that are in different components after the last round meet only
    where they share one of their rarest shingles (similar sets must: few may be missing), at places and sizes that leave
@@ -27,12 +29,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from penmark.llm import simhash_dedup
 from penmark.llm.common import arrow, discard, keyed, mix, slices, store, utf8, words_of
 from penmark.llm.components import components
 
 WORDS, BANDS, ROWS, SEED = 5, 32, 4, 42
 LEAST = (4, 5)  # the similarity, as a fraction
 ROUNDS = 2
+BITS = 16  # SimHashes of similar texts are rarely further apart
 _RNG = np.random.default_rng(SEED)
 _ORDERS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RNG.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,7 +72,7 @@ def bands(found: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``__k1, __k2, cls, n, bands`` of every row: key, digest and size of the set of shingles, and its bands (none if it is empty)."""
+    """``__k1, __k2, cls, n, fp, bands`` of every row: key, digest, size and SimHash of the set of shingles, and its bands (none if it is empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
@@ -76,10 +80,11 @@ def signatures(docs: DataFrame) -> DataFrame:
             columns = [batch.column("__k1"), batch.column("__k2"),
                        pa.array([hashlib.blake2b(s.astype("<u8").tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                        pa.array([len(s) for s in sets], pa.int64()),
+                       pa.array([simhash_dedup.majority(s) for s in sets], pa.int64()),
                        pa.array([bands(s) if len(s) else np.zeros(0, np.int64) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["__k1", "__k2", "cls", "n", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, names=["__k1", "__k2", "cls", "n", "fp", "bands"])
 
-    return arrow(keyed(docs).select("__k1", "__k2", "text"), run, "__k1 long, __k2 long, cls binary, n long, bands array<long>")
+    return arrow(keyed(docs).select("__k1", "__k2", "text"), run, "__k1 long, __k2 long, cls binary, n long, fp long, bands array<long>")
 
 
 def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -149,17 +154,33 @@ def _rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.drop("root").join(joined, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 
 
+def close_prints(classes: DataFrame) -> DataFrame:
+    """``a, b``: pairs of classes that operator 10's range join finds, by the smallest class of each fingerprint, and each other class
+    of a fingerprint with that one. Sizes alone may not rule the similarity out."""
+    held = classes.where("n > 0").select("fp", "cls", "n")
+    heads = store(held.groupBy("fp").agg(F.min(F.struct("cls", "n")).alias("head")), "similar-prints")
+    # few bytes, much work: dealt out by number, as by size they would be one task
+    near = simhash_dedup.links(heads.select("fp").repartition(2 * heads.sparkSession.sparkContext.defaultParallelism, "fp"), bits=BITS)
+    for side in ("a", "b"):
+        near = near.join(heads.select(F.col("fp").alias(side), F.col("head").alias(f"head_{side}")), side)
+    same = held.join(heads, "fp").where("cls <> head.cls").select(F.struct("cls", "n").alias("head_a"), F.col("head").alias("head_b"))
+    pairs = near.select("head_a", "head_b").unionByName(same).where(_sized("head_a.n", "head_b.n"))
+    found = store(pairs.select(F.greatest("head_a.cls", "head_b.cls").alias("a"), F.least("head_a.cls", "head_b.cls").alias("b")), "similar-close")
+    discard(heads)
+    return found
+
+
 def links(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``a, b``: pairs of similar classes, enough to join what is connected. ``classes`` has ``cls, n, bands``; ``texts_of`` gives
-    ``cls, text`` for the classes of a table."""
+    """``a, b``: pairs of similar classes, enough to join what is connected. ``classes`` has ``cls, n, fp, bands``; ``texts_of``
+    gives ``cls, text`` for the classes of a table."""
     up, down = LEAST
     rows = classes.select("cls", "n", F.explode("bands").alias("band"))
     met = rows.groupBy("band").agg(F.min("cls").alias("x"), F.max("cls").alias("y"), F.count(F.lit(1)).alias("size")).where("x < y")
     members = store(rows.join(met.select("band", "size").hint("merge"), "band"), "similar-members")
     weight = store(members.groupBy("cls").agg(F.sum("size").alias("weight")), "similar-weight")
-    texts = store(texts_of(weight.select("cls")), "similar-texts")
-    live = store(members.join(weight, "cls").select("cls", "n", "band", "weight", F.col("cls").alias("root")), "similar-live")
-    discard(members)
+    close = close_prints(classes)
+    wanted = reduce(DataFrame.union, [weight.select("cls"), close.select("a"), close.select("b")]).distinct()
+    texts = store(texts_of(wanted), "similar-texts")
     found, tested = [], []
 
     def untested(pairs: DataFrame) -> DataFrame:
@@ -169,6 +190,9 @@ def links(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], rounds
         tested.append(store(pairs, "similar-pairs"))
         return tested[-1]
 
+    found.append(store(checked(untested(close), texts), "similar-near"))
+    live = store(_rooted(members.join(weight, "cls").select("cls", "n", "band", "weight"), found[0]), "similar-live")
+    discard(members, close)
     for _ in range(rounds):
         order = F.struct("weight", F.xxhash64("cls", "band"))
         centres = live.groupBy("band").agg(
@@ -211,7 +235,7 @@ def keep_one(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """One row of every component of similar documents (the smallest ``doc_id``; among rows equal in id and text any), with all columns."""
     rows = store(signatures(docs), "similar-signatures")
     first = F.min(F.struct("__k1", "__k2")).alias("first")
-    classes = store(rows.groupBy("cls").agg(first, F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "similar-classes")
+    classes = store(rows.groupBy("cls").agg(first, *[F.any_value(c).alias(c) for c in ("n", "fp", "bands")]), "similar-classes")
     discard(rows)
     heads = classes.select("cls", F.col("first.__k1").alias("__k1"), F.col("first.__k2").alias("__k2"))
 

@@ -6,6 +6,7 @@ import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from penmark.llm import decontaminate, similar
@@ -154,3 +155,21 @@ def test_near_copies_of_odd_rows(spark):
     kept = sorted(similar.keep_one(documents(spark)).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
     docs = [(float("inf") if k is None else k, t) for k, t, *_ in DOCS]
     assert [r.doc_id for r in kept] == plain_kept(docs) and similar.keep_one(documents(spark).limit(0)).count() == 0
+
+
+def test_the_range_join_finds_near_copies_without_bands(spark):
+    """Pairs a bit or two apart, one far below the similarity though its SimHashes are equal in part, and no band at all."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    docs = []
+    for k in range(0, 12, 2):
+        base = [word() for _ in range(3000)]
+        docs += [(k, " ".join(base)), (k + 1, " ".join([*base[:1500], word(), *base[1501:]]))]
+    docs += [(12, "a b c d e"), (13, "a b c d f")]
+    table = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = store(similar.signatures(table), "test-signatures").withColumn("bands", F.array().cast("array<long>"))
+    ids = {bytes(r.cls): r["__k1"] for r in rows.collect()}
+    texts = similar.keyed(table).join(rows.select("__k1", "__k2", "cls"), ["__k1", "__k2"]).select("cls", "text")
+    found = similar.links(rows, lambda wanted: texts.join(wanted, "cls", "left_semi")).collect()
+    pairs = {tuple(sorted((ids[bytes(r.a)], ids[bytes(r.b)]))) for r in found}
+    assert len(pairs) >= 3 and pairs <= {(k, k + 1) for k in range(0, 12, 2)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from penmark.functions.text import WS
+from penmark.functions.text import NOT_WS, WS
 
 # The token filter, the length of a fixed-size sample, the padding index.
 ALPHA_TOKEN = r"^[A-Za-z]+$"
@@ -22,6 +22,11 @@ def keep_alpha(tokens: Column) -> Column:
     return F.filter(tokens, lambda w: w.rlike(ALPHA_TOKEN))
 
 
+def alpha_tokens(text: Column) -> Column:
+    """``keep_alpha(tokenize(text))`` in one search of the text: runs of ASCII letters with whitespace or an end on both sides."""
+    return F.regexp_extract_all(text, F.lit(rf"(?<!{NOT_WS})[A-Za-z]++(?!{NOT_WS})"), F.lit(0))
+
+
 def parse_list_literal(literal: Column) -> Column:
     """``['a', "it's"]`` written as text becomes an array of strings."""
     return F.from_json(

@@ -16,7 +16,7 @@ from penmark.functions.scoring import argmax, class_name
 from penmark.operators.history import best_checkpoints
 from penmark.operators.score import accuracy
 from penmark.operators.word_vectors import WordVectors, train_vectors
-from penmark.session import fresh_dir
+from penmark.session import fresh_dir, materialise
 
 TARGET = "human_wrote"
 
@@ -91,6 +91,22 @@ def fit_each(df: DataFrame, families: list[str], **settings) -> Iterator[tuple[s
         yield family, PipelineModel([vectors, *Pipeline(stages=rest).fit(ready).stages])
 
 
+def fit_hashed(df: DataFrame, family: str = "tfidf_lr", **settings) -> tuple[PipelineModel, DataFrame]:
+    """A model of hashed words fitted on the ``train`` rows, and the stored word counts of all rows: tokens are made and hashed once, for
+    the fit and for every evaluation by :func:`evaluate_hashed`."""
+    first, *rest = classifier(family, **settings).getStages()
+    if not isinstance(first, HashingTF):
+        raise ValueError(f"model family {family!r} does not begin with hashed words")
+    rows = materialise(first.transform(df).select("split", TARGET, first.getOutputCol()))
+    model = Pipeline(stages=rest).fit(rows.where("split = 'train'"))
+    return PipelineModel([first, *model.stages]), rows
+
+
+def evaluate_hashed(rows: DataFrame, model: PipelineModel, by: list[str] | None = None) -> DataFrame:
+    """:func:`evaluate` for stored word counts."""
+    return evaluate(rows, PipelineModel(model.stages[1:]), by)
+
+
 def save(model: PipelineModel, folder: str, name: str) -> str:
     """Keep a fitted model under its checkpoint name; the catalogue lists it by that name."""
     path = f"{folder}/{name}"

@@ -30,15 +30,18 @@ def _trained(spark, sf_dir, family="tfidf_lr", **settings):
         rows.unpersist()
 
 
-_KEPT: dict[tuple, str] = {}
+_KEPT: dict[tuple, tuple] = {}
 
 
 def _kept(spark, sf_dir, family="tfidf_lr"):
-    """The model of this table, fitted and saved once per application and loaded from its folder ever after."""
+    """The model of this table, fitted and saved once per application and loaded from its folder ever after, and the word counts it was
+    fitted on."""
     key = (spark.sparkContext.applicationId, sf_dir, family)
     if key not in _KEPT:
-        _KEPT[key] = fit.save(_trained(spark, sf_dir, family), fresh_dir(spark, "models"), family)
-    return fit.load(_KEPT[key])
+        model, rows = fit.fit_hashed(labelled_tokens(spark, sf_dir), family)
+        _KEPT[key] = fit.save(model, fresh_dir(spark, "models"), family), rows
+    path, rows = _KEPT[key]
+    return fit.load(path), rows
 
 
 def _vectors(spark, sf_dir):
@@ -95,8 +98,8 @@ def select_best_run(spark, sf_dir):
 @query("test_accuracy")
 def test_accuracy(spark, sf_dir):
     """One pass over all splits."""
-    model = _kept(spark, sf_dir)
-    return fit.evaluate(labelled_tokens(spark, sf_dir), model, by=["split"])
+    model, rows = _kept(spark, sf_dir)
+    return fit.evaluate_hashed(rows, model, by=["split"])
 
 
 def _scored(df, model):
@@ -106,13 +109,13 @@ def _scored(df, model):
 
 @query("score_texts")
 def score_texts(spark, sf_dir):
-    return _scored(v.turns(spark, sf_dir), _kept(spark, sf_dir))
+    return _scored(v.turns(spark, sf_dir), _kept(spark, sf_dir)[0])
 
 
 @query("score_batch")
 def score_batch(spark, sf_dir):
     rows = s.explode_batch(v.requests(spark, sf_dir), "body", ["request_id"])
-    return _scored(rows.where("error IS NULL").drop("error"), _kept(spark, sf_dir))
+    return _scored(rows.where("error IS NULL").drop("error"), _kept(spark, sf_dir)[0])
 
 
 EPOCHS, RATE = 4, 0.01

@@ -102,7 +102,7 @@ def tweety(spark, sf_dir):
 
 
 def tokens(spark, sf_dir):
-    words = tk.keep_alpha(tk.tokenize(F.col("text")))
+    words = tk.alpha_tokens(F.col("text"))
     return polar(spark, sf_dir).select(F.col("doc_id").alias("text_id"), words.alias("tokens"), "label")
 
 

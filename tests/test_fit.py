@@ -37,6 +37,15 @@ def test_scores_have_the_reported_columns(rows):
         assert x["label"] == ("Human-Written" if x["prediction"] == 1 else "AI-Generated") and 0.5 <= x["confidence"] <= 1
 
 
+def test_hashed_once_says_what_the_whole_model_says(rows):
+    model, counts = fit.fit_hashed(rows)
+    whole = fit.evaluate(rows, fit.fit(rows.where("split = 'train'"), "tfidf_lr"), ["split"])
+    assert sorted(fit.evaluate_hashed(counts, model, ["split"]).collect()) == sorted(whole.collect())
+    assert fit.evaluate(rows, model).first() == fit.evaluate_hashed(counts, model).first() and counts.count() == rows.count()
+    with pytest.raises(ValueError):
+        fit.fit_hashed(rows, "w2v_lr")
+
+
 def test_loss_falls(rows):
     losses = fit.loss_curve(fit.fit(rows.where("split = 'train'"), "tfidf_lr"))
     assert losses[-1] < losses[0]

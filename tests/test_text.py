@@ -106,3 +106,10 @@ def test_list_literals(spark, literal, words):
 def test_alpha_tokens(spark):
     rows = spark.createDataFrame([(["abc", "a1", "", "été", "X"],)], "w ARRAY<STRING>")
     assert rows.select(tk.keep_alpha(F.col("w"))).first()[0] == ["abc", "X"]
+
+
+def test_alphabetic_tokens_in_one_search(spark):
+    odd = ["a b", "  lone two x1 y", "don't it's a-b c", "\u0085end\x1cA\x1fB", "", "café cafe é z", "　", None, "x\ny\r\nz\tw", "q\U0001f600 r", "abc"]
+    rows = spark.createDataFrame([(t,) for t in odd], "text string")
+    both = rows.select("text", tk.keep_alpha(tk.tokenize(F.col("text"))).alias("a"), tk.alpha_tokens(F.col("text")).alias("b")).collect()
+    assert all(r.a == r.b for r in both) and sum(len(r.a or []) for r in both) == 17

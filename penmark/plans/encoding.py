@@ -11,17 +11,24 @@ from penmark.operators.split import split_by_hash, split_exact
 from penmark.plans import views as v
 from penmark.plans.registry import query, rounded, shown
 from penmark.plans.sql import encoded, rounded as sql_rounded, with_views, words
+from penmark.session import materialise
 
 MIN_COUNT = 1  # the queries encode with all words
 DIMS = 64  # of the given embeddings
 
 
-def full_vocab(spark, sf_dir):
-    return e.build_vocab(v.tokens(spark, sf_dir), min_count=MIN_COUNT)
+def full_vocab(spark, sf_dir, tokens=None):
+    return e.build_vocab(v.tokens(spark, sf_dir) if tokens is None else tokens, min_count=MIN_COUNT)
 
 
-def encoded_tokens(spark, sf_dir):
-    return e.encode(v.tokens(spark, sf_dir), full_vocab(spark, sf_dir), ["text_id", "label"])
+def stored_tokens(spark, sf_dir):
+    """The token table, made once for the readers that an encoding query has."""
+    return materialise(v.tokens(spark, sf_dir))
+
+
+def encoded_tokens(spark, sf_dir, tokens=None):
+    tokens = stored_tokens(spark, sf_dir) if tokens is None else tokens
+    return e.encode(tokens, full_vocab(spark, sf_dir, tokens), ["text_id", "label"])
 
 
 @query("parse_token_list", with_views(
@@ -96,8 +103,9 @@ def encode_serve(spark, sf_dir):
         array_to_string(list_transform(range(128), lambda i: CASE WHEN i < len(ids) THEN 1 ELSE 0 END), ',') AS attention_mask
     FROM encoded""", "encoded"))
 def encode_fixed(spark, sf_dir):
-    tokens = v.tokens(spark, sf_dir).withColumn("tokens", F.slice("tokens", 1, tk.FIXED_LENGTH))  # no more is kept
-    rows = e.fixed_samples(e.encode(tokens, full_vocab(spark, sf_dir), ["text_id", "label"]))
+    tokens = stored_tokens(spark, sf_dir)
+    first = tokens.withColumn("tokens", F.slice("tokens", 1, tk.FIXED_LENGTH))  # no more is kept
+    rows = e.fixed_samples(e.encode(first, full_vocab(spark, sf_dir, tokens), ["text_id", "label"]))
     return rows.select("text_id", "label", shown(F.col("input_ids")).alias("input_ids"),
                        shown(F.col("attention_mask")).alias("attention_mask"))
 
@@ -116,8 +124,9 @@ def encoded_lengths(spark, sf_dir):
     FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS longest FROM (
         SELECT *, (row_number() OVER (ORDER BY text_id) - 1) // 314 AS batch_id FROM encoded))""", "encoded"))
 def pad_batch(spark, sf_dir):
-    sizes = v.tokens(spark, sf_dir).select("text_id", F.size("tokens").alias("n"))  # encoding keeps the length
-    rows = e.pad_batches(encoded_tokens(spark, sf_dir), "text_id", 314, sizes)
+    tokens = stored_tokens(spark, sf_dir)
+    sizes = tokens.select("text_id", F.size("tokens").alias("n"))  # encoding keeps the length
+    rows = e.pad_batches(encoded_tokens(spark, sf_dir, tokens), "text_id", 314, sizes)
     return rows.select("text_id", "batch_id", "longest", F.md5(shown(F.col("ids"))).alias("padded"))
 
 

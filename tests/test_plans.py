@@ -83,3 +83,10 @@ def test_a_large_vocabulary_is_not_broadcast(spark):
     # Beyond the limit only the bounded table of hot words keeps its hint.
     text = encode(rows, vocab, ["text_id"], broadcast_bytes=0)._jdf.queryExecution().analyzed().toString()
     assert text.count("ResolvedHint") == 1 and "_hot" in text.split("ResolvedHint")[1][:200]
+
+
+def test_encoding_makes_tokens_once(spark, sf_dir):
+    """What pads, numbers and looks up reads stored tokens and splits no text again."""
+    for name in ("pad_batch", "vocab_encode", "encode_fixed"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "regexp" not in plan and "rlike" not in plan and "split(" not in plan

@@ -12,7 +12,7 @@ from penmark.plans.registry import query, rounded, shown_time
 from penmark.plans.scoring import BIASES, SQL_WEIGHTS, WEIGHTS
 from penmark.plans.sql import encoded, rounded as sql_rounded, strip, with_views, words
 from penmark.session import fresh_dir
-from penmark.streaming.curate import curate_stream, read_curated_stream
+from penmark.streaming.curate import arrive, curate_stream, deliver, read_curated_stream
 from penmark.streaming.serve import score_stream
 
 
@@ -86,10 +86,11 @@ def stream_curate(spark, sf_dir):
     """Three deliveries, days out of order; the last repeats some posts of the first."""
     posts = v.raw_posts(spark, sf_dir)
     day = F.dayofmonth("created_at") % 3
-    landing, out, checkpoint = (fresh_dir(spark, name) for name in ("posts", "stream-posts", "curate-stream"))
-    for delivered in (day == 2, day == 0, (day == 1) | (F.col("pos") % 7 == 0)):
-        posts.where(delivered).write.mode("append").parquet(landing)
-        arriving = spark.readStream.schema(posts.schema).parquet(landing)
+    staged, landing, out, checkpoint = (fresh_dir(spark, name) for name in ("staged", "posts", "stream-posts", "curate-stream"))
+    deliver(posts, [day == 2, day == 0, (day == 1) | (F.col("pos") % 7 == 0)], staged)
+    for i in range(3):
+        arrive(spark, f"{staged}/delivery={i}", f"{landing}/{i}")
+        arriving = spark.readStream.schema(posts.schema).option("recursiveFileLookup", "true").parquet(landing)
         curate_stream(arriving, out, checkpoint).awaitTermination()
     rows = read_curated_stream(spark, out).withColumn("created_at", shown_time(F.col("created_at")))
     return rows.select("text_id", "text", "user_id", "label", "created_at")

@@ -62,3 +62,20 @@ def test_session_settings_are_as_before(spark):
     deliver(spark, [post(1, "a")], landing, out, checkpoint)
     assert spark.conf.get(name, None) == before
     assert spark.read.parquet(out).where(F.col("text") == "a").count() == 1
+
+
+def test_deliveries_are_written_in_one_pass_and_arrive_whole(spark):
+    """A post in two deliveries is in both, one in none is in none; a delivery without posts leaves an empty landing."""
+    from pyspark.sql import functions as F
+    from penmark.session import fresh_dir
+    from penmark.streaming.curate import arrive, deliver
+
+    staged, landing = fresh_dir(spark, "test-staged"), fresh_dir(spark, "test-landing")
+    posts = spark.range(20).select(F.col("id").alias("pos"), F.lit("x").alias("text")).repartition(2)
+    deliver(posts, [F.col("pos") < 5, F.col("pos") % 2 == 0, F.lit(None).cast("boolean")], staged)
+    got = []
+    for i in range(3):
+        arrive(spark, f"{staged}/delivery={i}", f"{landing}/{i}")
+        rows = spark.read.schema(posts.schema).option("recursiveFileLookup", "true").parquet(landing).collect()
+        got.append(sorted(r.pos for r in rows))
+    assert got == [list(range(5)), *[sorted([*range(5), *range(0, 20, 2)])] * 2]

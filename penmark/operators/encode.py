@@ -43,7 +43,7 @@ def encode(
 ) -> DataFrame:
     """Replace each token by its index + 1, unknown tokens by 0; order and length stay, no array gives an empty one.
 
-    ``keys`` identify a text and are kept. Tokens do not move one by one: the distinct words of a block of texts are looked up and
+    ``keys`` are kept. Tokens do not move: texts are stored as numbers of the distinct words of their block, which alone are looked up, and
     the arrays are filled in the task of the block.
     """
     weight = "n" if "n" in vocab.columns else None  # the vocabulary knows its frequent words

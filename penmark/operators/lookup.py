@@ -7,8 +7,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from penmark.session import stored
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_PARTS = 1000  # a key is hot above 1/1000 of the rows, so there are fewer than 1000
 BLOCK_ROWS = 1024  # rows of a block, on average
@@ -110,29 +113,36 @@ def lookup_arrays(
 ) -> DataFrame:
     """``keys`` of every row, and ``out``: its array ``items`` looked up in ``table`` on ``key``.
 
-    Rows are dealt to blocks by a hash of ``keys``. The distinct items of a block, not its items, meet the table (:func:`lookup`, with
-    ``options``), so a frequent item costs one row a block. What is found comes first in the task of the block and is all that it holds
-    besides one batch of rows; ``fill(found keys, found values, items, items of each row)`` gives the column ``out`` of a batch.
+    Rows form blocks where they lie: the distinct items of a block are numbered, and its rows are stored as arrays of these numbers. The
+    distinct items, not the items, meet the table (:func:`lookup`, with ``options``), so a frequent item costs one row a block, and only
+    numbers move. What is found comes first in the task of the block and is all that it holds besides one batch of rows;
+    ``fill(numbers found, their values, items as numbers, items of each row)`` gives the column ``out`` of a batch; a null item is -1.
+    ``_stored_at`` of the result says where the stored rows lie.
     """
-    blocks = F.greatest(df.agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).scalar(), F.lit(1))
-    placed = df.select(*keys, F.pmod(F.xxhash64(*keys), blocks).alias("_block"), F.coalesce(items, F.array()).alias("_items"))  # null lists cost time with the square of an Arrow batch
+    placed = df.select(*keys, F.coalesce(items, F.array()).alias("_items"))  # null lists cost time with the square of an Arrow batch
     kind = df.schema[items].dataType.elementType
     if isinstance(kind, T.StringType):
         sizes = F.transform("_items", F.octet_length)
         placed = placed.withColumns({"_items": sizes, "_text": F.array_join("_items", "")})
     runs, items_of = _readers()
+    most = BLOCK_ROWS
 
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, seen = None, None
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in runs(batch, "_block"):
-                own, found = part.column("_block")[0], pc.unique(items_of(part)[0])
-                if block is not None and own != block:
-                    yield pa.RecordBatch.from_arrays([pa.repeat(block, len(seen)), seen], names=["_block", key])
-                seen = pc.unique(pa.concat_arrays([seen, found])) if own == block else found
-                block = own
-        if block is not None:
-            yield pa.RecordBatch.from_arrays([pa.repeat(block, len(seen)), seen], names=["_block", key])
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
+                flat, counts = items_of(part)
+                found = flat.dictionary_encode()
+                offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+                rows, seen = len(counts), len(found.dictionary)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(block), rows), *(part.column(k) for k in keys), pa.nulls(rows, flat.type), pa.repeat(pa.scalar(-1, pa.int32()), rows),
+                     pa.ListArray.from_arrays(offsets, pc.fill_null(found.indices, -1))], names=names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(block), seen), *(pa.nulls(seen, part.column(k).type) for k in keys), found.dictionary, pa.array(np.arange(seen, dtype=np.int32)),
+                     pa.ListArray.from_arrays(pa.array(np.zeros(seen + 1, np.int32)), pa.nulls(0, pa.int32()))], names=names)
+                block += 1
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, known, joined = None, [], None
@@ -144,17 +154,24 @@ def lookup_arrays(
                     known.append(part)
                     continue
                 if joined is None:
-                    joined = [pa.concat_arrays([p.column(c) for p in known]) for c in ("_key", "_value")]
+                    joined = [pa.concat_arrays([p.column(c) for p in known]) for c in ("_number", "_value")]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keys), fill(*joined, *items_of(part))], names=[*keys, out.name])
 
-    texts = placed.drop(*keys).repartition("_block").sortWithinPartitions("_block")
-    wanted = texts.mapInArrow(distinct, T.StructType([T.StructField("_block", T.LongType()), T.StructField(key, kind)]))
-    found = lookup(wanted.where(F.col(key).isNotNull()), table, key, spread_by=["_block", key], **options)
-    empty = {c: F.lit("") if c == "_text" else F.array().cast(placed.schema[c].dataType) for c in ("_items", "_text") if c in placed.columns}
+    own = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    schema = T.StructType([
+        T.StructField("_block", T.LongType()), *own, T.StructField("_item", kind), T.StructField("_number", T.IntegerType()),
+        T.StructField("_items", T.ArrayType(T.IntegerType()))])
+    names = schema.names
+    both, path = stored(placed.mapInArrow(numbered, schema), "numbered")
+    wanted = both.where("_number >= 0 AND _item IS NOT NULL").select("_block", "_number", F.col("_item").alias(key))
+    found = lookup(wanted, table, key, spread_by=["_block", key], **options)
     held = found.where(F.col(value).isNotNull()).select(
-        "_block", F.col(key).alias("_key"), F.col(value).alias("_value"), *[x.alias(c) for c, x in empty.items()], F.lit(True).alias("_held"))
+        "_block", "_number", F.col(value).alias("_value"), F.array().cast("array<int>").alias("_items"), F.lit(True).alias("_held"))
     none = F.array().cast(table.schema[value].dataType) if isinstance(table.schema[value].dataType, T.ArrayType) else F.lit(None)
-    rows = held.unionByName(placed.withColumns({"_value": none, "_held": F.lit(False)}), allowMissingColumns=True)
+    texts = both.where("_number < 0").select("_block", *keys, "_number", none.cast(table.schema[value].dataType).alias("_value"), "_items", F.lit(False).alias("_held"))
+    rows = held.unionByName(texts, allowMissingColumns=True)
     rows = rows.repartition("_block").sortWithinPartitions("_block", F.desc("_held"))
-    return rows.mapInArrow(filled, T.StructType([*(T.StructField(k, df.schema[k].dataType) for k in keys), out]))
+    result = rows.mapInArrow(filled, T.StructType([*own, out]))
+    result._stored_at = path
+    return result

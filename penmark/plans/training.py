@@ -14,7 +14,7 @@ from penmark.operators.word_vectors import train_vectors
 from penmark.plans import views as v
 from penmark.plans.registry import query
 from penmark.plans.sql import with_views
-from penmark.session import fresh_dir
+from penmark.session import discard, fresh_dir, stored
 
 
 def labelled_tokens(spark, sf_dir):
@@ -45,11 +45,11 @@ def _kept(spark, sf_dir, family="tfidf_lr"):
 
 
 def _vectors(spark, sf_dir):
-    rows = labelled_tokens(spark, sf_dir).select("text_id", "tokens").persist()
+    rows, path = stored(labelled_tokens(spark, sf_dir).select("text_id", "tokens"), "tokens")
     try:
         return train_vectors(rows)
     finally:
-        rows.unpersist()
+        discard(spark, path)
 
 
 @query("train_word_vectors")

@@ -14,7 +14,7 @@ from penmark.session import stored
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_PARTS = 1000  # a key is hot above 1/1000 of the rows, so there are fewer than 1000
-BLOCK_ROWS = 1024  # rows of a block, on average
+BLOCK_ROWS = 5000  # rows of a block, at most: half of an Arrow batch
 
 
 def _width(field: T.StructField) -> Column:

@@ -77,13 +77,15 @@ def fit_classifier(spark, sf_dir):
 @query("model_families")
 def model_families(spark, sf_dir):
     """Accuracy of each family on the validation split."""
-    rows = labelled_tokens(spark, sf_dir).persist()
+    rows, path = stored(labelled_tokens(spark, sf_dir).where("split IN ('train', 'val')"), "tokens")
     found = []
-    for family, model in fit.fit_each(rows.where("split = 'train'"), sorted(fit.FAMILIES)):
-        r = fit.evaluate(rows.where("split = 'val'"), model).first()
-        found.append((family, r["correct"], r["total"], r["accuracy"]))
-    rows.unpersist()
-    return spark.createDataFrame(found, "family STRING, correct BIGINT, total BIGINT, accuracy DOUBLE")
+    try:
+        for family, accuracy in fit.compare_families(rows, sorted(fit.FAMILIES)):
+            r = accuracy.first()
+            found.append((family, r["correct"], r["total"], r["accuracy"]))
+    finally:
+        discard(spark, path)
+    return spark.createDataFrame(sorted(found), "family STRING, correct BIGINT, total BIGINT, accuracy DOUBLE")
 
 
 SETTINGS = [("tfidf_lr", {"step": 0.1}), ("tfidf_lr", {"step": 0.01}), ("tfidf_lr", {"step": 1.0})]

@@ -92,3 +92,15 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
     assert shuffles() <= before and rows.count() == 3
     discard(spark, path)
     assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_word_vectors_read_stored_tokens(spark, sf_dir, monkeypatch):
+    """No cache of tokens, and the stored ones go when the vectors are there."""
+    from penmark.plans import QUERIES, training
+
+    seen, whole = [], training.train_vectors
+    monkeypatch.setattr(training, "train_vectors", lambda df: seen.append((df._jdf.queryExecution().optimizedPlan().toString(), df.inputFiles())) or whole(df))
+    assert QUERIES["train_word_vectors"](spark, sf_dir).columns == ["word", "vec"]
+    (plan, files), = seen
+    assert "InMemoryRelation" not in plan and "regexp" not in plan
+    assert files and not any(Path(f.removeprefix("file://")).exists() for f in files)
